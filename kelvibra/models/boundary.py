@@ -15,7 +15,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kelvibra.functions.quantiles import exact_quantiles
 from kelvibra.models.isolation import standard_scale
+from kelvibra.plans.lineage import cut
 
 BINS = 1024
 
@@ -118,8 +120,8 @@ def fit_one_class_boundary(df: DataFrame, cols: Sequence[str] = ("temperature",
         w = (1.0 - pace) * w + pace * total / (nu * rows)
         model.weights, model.offset = w.tolist(), rho
     model.offset = 0.0
-    values = model.decide(df.select(*cols))
-    model.offset = values.agg(F.percentile_approx("boundary_decision", nu, 10_000)).first()[0]
+    values = cut(model.decide(df.select(*cols)).select("boundary_decision"))
+    model.offset = exact_quantiles(values, "boundary_decision", [nu])[0]
     return model
 
 

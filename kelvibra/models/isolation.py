@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kelvibra.functions.quantiles import exact_quantiles
+from kelvibra.plans.lineage import cut
 
 NODES = "tree int, node int, feature int, split double, below int, above int, depth double"
 HASH_SPACE = 1 << 30
@@ -129,10 +130,9 @@ def standard_scale(df: DataFrame, cols: Sequence[str]) -> tuple[int, list[float]
 
 def fit_isolation_forest(df: DataFrame, cols: Sequence[str] = ("temperature", "vibration"),
                          key: str = "reading_id", trees: int = 100, sample: int = 256,
-                         contamination: float = 0.05, seed: int = 42,
-                         exact_threshold: bool = False) -> IsolationForest:
-    """Fits on standardized columns. The threshold is the (1 - contamination) quantile of the fitted
-    rows' scores, from a sketch or, at the price of more scoring passes, exact."""
+                         contamination: float = 0.05, seed: int = 42) -> IsolationForest:
+    """Fits on standardized columns. The threshold is the exact (1 - contamination) quantile of the
+    fitted rows' scores, which are computed once and kept in a checkpoint."""
     cols = list(cols)
     rows, centre, scale = standard_scale(df, cols)
     if rows == 0:
@@ -161,12 +161,8 @@ def fit_isolation_forest(df: DataFrame, cols: Sequence[str] = ("temperature", "v
         return pd.DataFrame(lines, columns=[c.split(" ")[0] for c in NODES.split(", ")])
 
     forest.nodes = draws.groupBy("tree").applyInPandas(grow, NODES).toPandas()
-    scored = forest.score(df.select(*cols))
-    if exact_threshold:
-        forest.threshold = exact_quantiles(scored, "isolation_score", [1.0 - contamination])[0]
-    else:
-        forest.threshold = scored.agg(
-            F.percentile_approx("isolation_score", 1.0 - contamination, 10_000)).first()[0]
+    scores = cut(forest.score(df.select(*cols)).select("isolation_score"))
+    forest.threshold = exact_quantiles(scores, "isolation_score", [1.0 - contamination])[0]
     return forest
 
 

@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from kelvibra import settings as S
 from kelvibra.functions.expressions import severity_ladder
 from kelvibra.functions.quantiles import exact_quantiles
-from kelvibra.operators.features import ordered_split, scale_minmax, sequences
+from kelvibra.operators.features import ordered_split, scale_minmax, with_sequences
 from kelvibra.operators.scans import scan_range
+from kelvibra.plans.lineage import cut
 
 
 def _square_sum(vector: str) -> Column:
@@ -63,13 +64,13 @@ def autoencoder_anomalies(model: PipelineModel, wide: DataFrame, as_of=None, day
 
 
 def sequence_vectors(df: DataFrame, cols: Sequence[str], n: int) -> DataFrame:
-    """Min-max scaled n-row sequences of each device as flat vectors, on the sequence's last row."""
-    scaled = scale_minmax(df, cols)
-    rows = sequences(scaled, [f"{c}_scaled" for c in cols], n)
-    # Spark may evaluate the vector before the filter on full sequences: short ones must not fail
+    """Min-max scaled n-row sequences of each device as flat vectors, on the sequence's last row. Rows
+    without a full sequence get zeros and is_full = false."""
+    rows = with_sequences(scale_minmax(df, cols), [f"{c}_scaled" for c in cols], n)
+    full = F.size("sequence") == n
     blank = F.array_repeat(F.lit(0.0), n * len(cols))
-    flat = F.when(F.size("sequence") == n, F.flatten("sequence")).otherwise(blank)
-    return rows.withColumn("_flat", array_to_vector(flat)).drop("sequence")
+    flat = F.when(full, F.flatten("sequence")).otherwise(blank)
+    return rows.select(*df.columns, full.alias("is_full"), array_to_vector(flat).alias("_flat"))
 
 
 def fit_sequences(vectors: DataFrame, k: int = 4) -> PipelineModel:
@@ -87,9 +88,9 @@ def sequence_anomalies(df: DataFrame, cols: Sequence[str] = ("temperature", "vib
     given model the first `share` of each device's sequences train it."""
     vectors = sequence_vectors(df, cols, n)
     if model is None:
-        train = ordered_split(vectors, share).filter("is_train")
-        model = fit_sequences(train, k)
-    errors = model.transform(vectors).select("reading_id", _loss(n * len(cols)).alias("sequence_error"))
-    limit = exact_quantiles(errors, "sequence_error", [pct])[0]
+        model = fit_sequences(ordered_split(vectors.filter("is_full"), share).filter("is_train"), k)
+    error = F.when(F.col("is_full"), _loss(n * len(cols)))
+    scored = model.transform(vectors).select(*df.columns, error.alias("sequence_error"))
+    limit = exact_quantiles(cut(scored.select("sequence_error")), "sequence_error", [pct])[0]
     flag = F.coalesce((F.col("sequence_error") > F.lit(limit)).cast("int"), F.lit(0))
-    return df.join(errors, "reading_id", "left").withColumn("sequence_anomaly", flag)
+    return scored.withColumn("sequence_anomaly", flag)

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from kelvibra.functions.expressions import eps_ratio, interaction_features, safe_ratio
 from kelvibra.operators.scans import scan_range
-from kelvibra.plans.slices import (CELL, KEYS, MAX_ROWS, ORDER, hot_series, in_slices, windowed)
+from kelvibra.plans.slices import (KEYS, MAX_ROWS, ORDER, cold_rows, hot_series, in_slices,
+                                    slice_starts, windowed)
 
 VALUES = ("temperature", "vibration")
 
@@ -118,7 +119,7 @@ def _known(c: str) -> Column:
 
 
 def fill_gaps(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = KEYS,
-              order: Sequence[str] = ORDER, max_rows: int = MAX_ROWS, cell: str = CELL) -> DataFrame:
+              order: Sequence[str] = ORDER, max_rows: int = MAX_ROWS) -> DataFrame:
     """E8. Each null or NaN takes the next known value of its series, else the last one before it.
 
     A long series is cut into slices; what a slice lacks comes from the first known value of the
@@ -140,8 +141,8 @@ def fill_gaps(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = KEYS,
     hot = hot_series(df, keys, max_rows)
     if hot is None:
         return fill(df, Window.partitionBy(*keys).orderBy(*order))
-    cold = fill(df.join(hot.select(*keys), keys, "left_anti"), Window.partitionBy(*keys).orderBy(*order))
-    rows = in_slices(df, hot, keys, order, 0, max_rows, cell).drop("_start", "_lead")
+    cold = fill(cold_rows(df, hot, keys), Window.partitionBy(*keys).orderBy(*order))
+    rows = in_slices(df, hot, keys, order, max_rows)
     ends = rows.groupBy(*keys, "_slice").agg(
         *[F.min(F.when(_known(c).isNotNull(), F.struct(*order, F.col(c).alias("_v")))).alias(f"_first_{c}")
           for c in cols],
@@ -159,13 +160,17 @@ def fill_gaps(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = KEYS,
     return cold.unionByName(hot_out.select(*cold.columns))
 
 
-def sequences(df: DataFrame, cols: Sequence[str] = VALUES, n: int = 10, **series) -> DataFrame:
-    """E9. Each row that ends n readings of its device, with them as `sequence`
-    (array of arrays, oldest first)."""
+def with_sequences(df: DataFrame, cols: Sequence[str] = VALUES, n: int = 10, **series) -> DataFrame:
+    """`sequence`: the last n readings of the device up to the row (array of arrays, oldest first);
+    shorter on a device's first rows."""
     def build(rows, w):
-        frame = _last(w, n)
-        return rows.withColumn("sequence", F.collect_list(F.array(*[F.col(c) for c in cols])).over(frame))
-    return windowed(df, build, n - 1, **series).filter(F.size("sequence") == n)
+        return rows.withColumn("sequence", F.collect_list(F.array(*[F.col(c) for c in cols])).over(_last(w, n)))
+    return windowed(df, build, n - 1, **series)
+
+
+def sequences(df: DataFrame, cols: Sequence[str] = VALUES, n: int = 10, **series) -> DataFrame:
+    """E9. The rows that end n readings of their device, with them as `sequence`."""
+    return with_sequences(df, cols, n, **series).filter(F.size("sequence") == n)
 
 
 def scale_standard(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
@@ -195,7 +200,7 @@ def _scalar(stats: DataFrame, name: str) -> Column:
 
 
 def ordered_split(df: DataFrame, share: float = 0.8, keys: Sequence[str] = KEYS,
-                  order: Sequence[str] = ORDER, max_rows: int = MAX_ROWS, cell: str = CELL) -> DataFrame:
+                  order: Sequence[str] = ORDER, max_rows: int = MAX_ROWS) -> DataFrame:
     """J18. is_train for the first floor(share * n) readings of each device. In a long series a row's
     place is its slice's start plus its place in the slice."""
     keys, order = list(keys), [c for c in order if c in df.columns]
@@ -211,8 +216,9 @@ def ordered_split(df: DataFrame, share: float = 0.8, keys: Sequence[str] = KEYS,
     hot = hot_series(df, keys, max_rows)
     if hot is None:
         return plain(df)
-    rows = in_slices(df, hot, keys, order, 0, max_rows, cell).join(hot, keys)
+    rows = in_slices(df, hot, keys, order, max_rows)
+    rows = rows.join(slice_starts(rows, keys), [*keys, "_slice"]).join(hot.keys, keys)
     place = F.row_number().over(Window.partitionBy(*keys, "_slice").orderBy(*order)) + F.col("_start")
     hot_out = rows.withColumn("is_train", mark(place, F.col("_n")))
-    cold = plain(df.join(hot.select(*keys), keys, "left_anti"))
+    cold = plain(cold_rows(df, hot, keys))
     return cold.unionByName(hot_out.select(*cold.columns))

@@ -4,97 +4,103 @@ A series (device) short enough for one task is windowed as usual. A series with
 rows is cut into slices along its order, and every slice carries the few rows before it that its row
 frames can reach. The values are the same as with one window per series; only the work is spread.
 
-The cut is planned on counts per (series, time cell), never on rows. Cells are taken whole, so a slice
-may exceed `max_rows` by one cell; a slice's lead-in is made of whole cells too, and is dropped again.
+Slices are the partitions of a range partitioning by series and order, which Spark balances on a sample
+of the rows. They are fixed by a checkpoint, as several branches must see the same cut.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from kelvibra.plans.lineage import cut
+
 MAX_ROWS = 2_000_000
-CELL = "minute"
 LOCAL_KEYS = 10_000
 
 KEYS = ("device_id",)
 ORDER = ("timestamp", "reading_id")
 
 
-def hot_series(df: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame | None:
-    """Series with more than max_rows rows, and their row count `_n`; None if there are none. At most
-    rows / max_rows of them exist. Up to LOCAL_KEYS keys become a local table, which Spark may
-    broadcast by its known size; a longer list stays distributed and is joined as Spark sees fit. A
-    null key is left to the plain path, as joins would not match it."""
+@dataclass(frozen=True)
+class HotSeries:
+    """Series with more than max_rows rows: their keys and row count `_n`, and how many rows in all."""
+    keys: DataFrame
+    rows: int
+
+
+def hot_series(df: DataFrame, keys: Sequence[str], max_rows: int) -> HotSeries | None:
+    """One count per series; None if none is hot. At most rows / max_rows series are. Up to LOCAL_KEYS
+    of them become a local table, which Spark may broadcast by its known size; a longer list stays
+    distributed and is joined as Spark sees fit. A null key is left to the plain path, as joins would
+    not match it."""
     counts = df.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     hot = counts.filter(F.col("_n") > max_rows)
     found = hot.take(LOCAL_KEYS + 1)
     if not found:
         return None
-    return hot if len(found) > LOCAL_KEYS else df.sparkSession.createDataFrame(found, hot.schema)
-
-
-def cell_of(order: Sequence[str], cell: str) -> Column:
-    return F.date_trunc(cell, F.col(order[0]))
-
-
-def slice_plan(rows: DataFrame, keys: Sequence[str], order: Sequence[str], lookback: int,
-               max_rows: int, cell: str) -> DataFrame:
-    """One line per cell and slice that needs it: keys, _cell, _slice, _start (position of the slice's
-    first own row within the series), _lead (the slice needs the cell for its lead-in only)."""
-    by_cell = Window.partitionBy(*keys).orderBy("_cell")
-    cells = (
-        rows.groupBy(*keys, cell_of(order, cell).alias("_cell"))
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_end", F.sum("_rows").over(by_cell))
-        .withColumn("_begin", F.col("_end") - F.col("_rows"))
-        .withColumn("_slice", F.floor(F.col("_begin") / F.lit(max_rows)))
-    )
-    cells = cells.withColumn("_start", F.min("_begin").over(Window.partitionBy(*keys, "_slice")))
-    own = cells.select(*keys, "_cell", "_slice", "_start", F.lit(False).alias("_lead"))
-    if lookback == 0:
-        return own
-    # Each slice owns at least one row, so only the next `lookback` slices can reach back to a cell.
-    following = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(1, lookback)
-    starts = (
-        cells.select(*keys, "_slice", "_start").distinct()
-        .withColumn("_next", F.collect_list(F.struct("_slice", "_start")).over(following))
-        .select(*keys, "_slice", "_next")
-    )
-    lead = (
-        cells.select(*keys, "_cell", "_slice", "_end").join(starts, [*keys, "_slice"])
-        .select(*keys, "_cell", "_end", F.explode("_next").alias("_to"))
-        .filter(F.col("_end") > F.col("_to._start") - lookback)
-        .select(*keys, "_cell", F.col("_to._slice").alias("_slice"),
-                F.col("_to._start").alias("_start"), F.lit(True).alias("_lead"))
-    )
-    return own.unionByName(lead)
-
-
-def in_slices(df: DataFrame, hot: DataFrame, keys: Sequence[str], order: Sequence[str],
-              lookback: int, max_rows: int, cell: str) -> DataFrame:
-    """Rows of the hot series with the slices they take part in."""
+    if len(found) <= LOCAL_KEYS:
+        return HotSeries(df.sparkSession.createDataFrame(found, hot.schema), sum(r["_n"] for r in found))
+    hot = cut(hot)
+    return HotSeries(hot, hot.agg(F.sum("_n")).first()[0])
+
+
+def cold_rows(df: DataFrame, hot: HotSeries, keys: Sequence[str]) -> DataFrame:
+    return df.join(hot.keys.select(*keys), list(keys), "left_anti")
+
+
+def in_slices(df: DataFrame, hot: HotSeries, keys: Sequence[str], order: Sequence[str],
+              max_rows: int) -> DataFrame:
+    """Rows of the hot series with their slice, ascending along each series."""
+    rows = df.join(hot.keys.select(*keys), list(keys), "left_semi")
+    slices = math.ceil(hot.rows / max_rows)
+    return cut(rows.repartitionByRange(slices, *keys, *order)
+               .withColumn("_slice", F.spark_partition_id()))
+
+
+def slice_starts(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per series and slice: `_start`, the rows of the series before it."""
+    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_size"))
+    return sizes.select(*keys, "_slice", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+
+
+def lead_in(rows: DataFrame, keys: Sequence[str], order: Sequence[str], lookback: int) -> DataFrame:
+    """For each slice the last `lookback` rows of its series before it, which may come from several
+    short slices. Works on the ends of slices only: Spark keeps the top rows of a slice before it
+    shuffles them."""
     keys = list(keys)
-    hot_rows = df.join(hot.select(*keys), keys, "left_semi")
-    plan = slice_plan(hot_rows.select(*keys, order[0]), keys, order, lookback, max_rows, cell)
-    return (hot_rows.withColumn("_cell", cell_of(order, cell))
-            .join(plan, [*keys, "_cell"]).drop("_cell"))
+    backwards = Window.partitionBy(*keys, "_slice").orderBy(*[F.desc(c) for c in order])
+    ends = rows.withColumn("_back", F.row_number().over(backwards)).filter(F.col("_back") <= lookback)
+    by_slice = Window.partitionBy(*keys).orderBy("_slice")
+    pieces = (
+        ends.groupBy(*keys, "_slice").agg(F.max("_back").alias("_held"))
+        .withColumn("_total", F.sum("_held").over(by_slice.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("_next", F.collect_list(F.struct("_slice", (F.col("_total") - F.col("_held")).alias("_before")))
+                    .over(by_slice.rowsBetween(1, lookback)))
+        .select(*keys, "_slice", "_total", F.explode("_next").alias("_to")))
+    between = F.col("_to._before") - F.col("_total")
+    return (ends.join(pieces, [*keys, "_slice"]).filter(between + F.col("_back") <= lookback)
+            .withColumn("_slice", F.col("_to._slice")).select(*rows.columns))
 
 
 def windowed(df: DataFrame, build: Callable[[DataFrame, WindowSpec], DataFrame], lookback: int,
              keys: Sequence[str] = KEYS, order: Sequence[str] = ORDER,
-             max_rows: int = MAX_ROWS, cell: str = CELL) -> DataFrame:
+             max_rows: int = MAX_ROWS) -> DataFrame:
     """build(rows, window) adds columns over row frames reaching at most `lookback` rows back. One
     count per series decides whether any series has to be cut."""
     keys, order = list(keys), [c for c in order if c in df.columns]
+    plain = Window.partitionBy(*keys).orderBy(*order)
     hot = hot_series(df, keys, max_rows)
     if hot is None:
-        return build(df, Window.partitionBy(*keys).orderBy(*order))
-    cold = build(df.join(hot.select(*keys), keys, "left_anti"),
-                 Window.partitionBy(*keys).orderBy(*order))
-    sliced = in_slices(df, hot, keys, order, lookback, max_rows, cell)
-    sliced = build(sliced, Window.partitionBy(*keys, "_slice").orderBy(*order))
-    sliced = sliced.filter(~F.col("_lead")).drop("_slice", "_start", "_lead")
-    return cold.unionByName(sliced)
+        return build(df, plain)
+    own = in_slices(df, hot, keys, order, max_rows)
+    lead = lead_in(own, keys, order, lookback)
+    rows = own.withColumn("_lead", F.lit(False)).unionByName(lead.withColumn("_lead", F.lit(True)))
+    sliced = build(rows, Window.partitionBy(*keys, "_slice").orderBy(*order))
+    cold = build(cold_rows(df, hot, keys), plain)
+    return cold.unionByName(sliced.filter(~F.col("_lead")).drop("_slice", "_lead"))
