@@ -65,7 +65,7 @@ def class_report(df: DataFrame, by: Sequence[str] = (), **columns) -> DataFrame:
 def _score_edges(df: DataFrame, score: str) -> list[float]:
     """At most BUCKETS ascending cut points at about equal shares of the rows: a bounded list."""
     probs = [i / BUCKETS for i in range(1, BUCKETS)]
-    cuts = df.agg(F.percentile_approx(score, probs, 10 * BUCKETS)).first()[0] or []
+    cuts = df.agg(F.percentile_approx(score, probs, 10 * BUCKETS)).first()[0] or [0.0]
     return [float("-inf"), *sorted(set(cuts)), float("inf")]
 
 

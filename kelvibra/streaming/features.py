@@ -63,7 +63,7 @@ def _update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> I
     if state.exists:
         newest, kept["temperature"], kept["vibration"] = state.get
         kept = {c: list(v) for c, v in kept.items()}
-    rows = pd.concat(list(batches)).sort_values("timestamp", kind="stable")
+    rows = pd.concat([b for b in batches if len(b)]).sort_values("timestamp", kind="stable")
     if newest is not None:
         late = rows["timestamp"] <= pd.Timestamp(newest)
         if late.any():
