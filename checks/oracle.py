@@ -284,7 +284,7 @@ SELECT device_id, detection_method, count(*) AS anomaly_count, {r('avg(anomaly_s
   count(*) FILTER (anomaly_severity = 'MEDIUM') AS medium_severity_count,
   count(*) FILTER (anomaly_severity = 'LOW') AS low_severity_count,
   min("timestamp") AS first_anomaly, max("timestamp") AS last_anomaly
-FROM detections WHERE "timestamp" >= (SELECT max("timestamp") FROM detections) - INTERVAL {days} DAY
+FROM detections, clock WHERE "timestamp" >= as_of - INTERVAL {days} DAY
 GROUP BY device_id, detection_method ORDER BY anomaly_count DESC, avg_anomaly_score DESC""")
 
 

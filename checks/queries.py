@@ -144,6 +144,11 @@ def detections(spark, sf):
     return D.unified_anomalies(forecast_hits(spark, sf), rule_hits(spark, sf), wide_hits(spark, sf))
 
 
+def clock(spark, sf):
+    """The newest reading's time stands for the current time."""
+    return X.events(spark, sf).agg(F.max("ts")).scalar()
+
+
 # --- 2.4 to 2.6 ------------------------------------------------------------------------------------------
 
 def far_readings(spark, sf):
@@ -328,7 +333,7 @@ def build() -> dict:
         "C4_limits_lookup": c4,
         "D0_severity_counts": readings_counted,
         "D1_device_profile": lambda s, f: stats.device_profile(X.stored(s, f)),
-        "D2_anomaly_summary": lambda s, f: stats.anomaly_summary(detections(s, f)),
+        "D2_anomaly_summary": lambda s, f: stats.anomaly_summary(detections(s, f), clock(s, f)),
         "D3_distance_quantiles": lambda s, f: stats.distance_quantiles(
             far_readings(s, f), "distance_to_centroid", exact=True),
         "D4_kpis": lambda s, f: stats.kpis(X.flagged(s, f)),
@@ -363,7 +368,8 @@ def build() -> dict:
         "F2_raw_page": lambda s, f: scans.raw_page(page(s, f)),
         "F3_best_model": lambda s, f: E.best_model(X.model_performance(s, f), "precision"),
         "F4_compare_models": lambda s, f: E.compare_models(X.model_performance(s, f), days=14),
-        "F5_order_summary": lambda s, f: stats.order_summary(stats.anomaly_summary(detections(s, f), days=7)),
+        "F5_order_summary": lambda s, f: stats.order_summary(stats.anomaly_summary(
+            detections(s, f), clock(s, f), days=7)),
         "G1_unified_anomalies": detections,
         "G1_unified_detectors": g1_models,
         "J1_fit_temperature": j1,

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from kelvibra.functions.quantiles import exact_quantiles
 from kelvibra.models.isolation import standard_scale
-from kelvibra.plans.lineage import cut
+from kelvibra.plans.lineage import cut, spread
 
 BINS = 1024
 
@@ -109,7 +109,7 @@ def fit_one_class_boundary(df: DataFrame, cols: Sequence[str] = ("temperature",
     if rows == 0:
         raise ValueError("no rows to fit on")
     model = OneClassBoundary(cols, centre, scale, features, seed, nu, [0.0] * features)
-    inputs = df.select(*model._scaled())
+    inputs = cut(spread(df.select(*model._scaled()), rows))  # read once per step
     total, _, _ = model._pass(inputs, everyone=True)
     w = total / rows
     model.weights = w.tolist()
@@ -120,7 +120,7 @@ def fit_one_class_boundary(df: DataFrame, cols: Sequence[str] = ("temperature",
         w = (1.0 - pace) * w + pace * total / (nu * rows)
         model.weights, model.offset = w.tolist(), rho
     model.offset = 0.0
-    values = cut(model.decide(df.select(*cols)).select("boundary_decision"))
+    values = cut(model.decide(spread(df.select(*cols), rows)).select("boundary_decision"))
     model.offset = exact_quantiles(values, "boundary_decision", [nu])[0]
     return model
 

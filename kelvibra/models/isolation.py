@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kelvibra.functions.quantiles import exact_quantiles
-from kelvibra.plans.lineage import cut
+from kelvibra.plans.lineage import cut, spread
 
 NODES = "tree int, node int, feature int, split double, below int, above int, depth double"
 HASH_SPACE = 1 << 30
@@ -142,17 +142,22 @@ def fit_isolation_forest(df: DataFrame, cols: Sequence[str] = ("temperature", "v
     values = [v.alias(f"x{i}") for i, v in enumerate(forest._scaled())]
     names = [f"x{i}" for i in range(len(cols))]
 
-    # About 4 * sample * trees rows stay in play at most; each tree draws its own sample from them.
-    pool_share = min(1.0, 4.0 * size * trees / rows)
+    # About 4 * sample * trees rows stay in play at most, and about as many draws are made from them:
+    # a row enters as many trees, picked by hash, as it takes to give each tree four times its sample.
+    wanted = 4 * size * trees
+    pool_share = min(1.0, wanted / rows)
     pool = df.select(F.col(key).alias("k"), *values).filter(
         F.pmod(F.xxhash64("k", F.lit(seed)), F.lit(HASH_SPACE)) < F.lit(int(pool_share * HASH_SPACE)))
-    tree_share = min(1.0, 4.0 * size / (rows * pool_share))
-    draws = (
-        pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-        .withColumn("ticket", F.xxhash64("k", "tree", F.lit(seed + 1)))
-        .filter(F.pmod("ticket", F.lit(HASH_SPACE)) < F.lit(int(tree_share * HASH_SPACE)))
-        .withColumn("place", F.row_number().over(Window.partitionBy("tree").orderBy("ticket", "k")))
-        .filter(F.col("place") <= size))
+    if rows <= 4 * size:
+        drawn = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+    else:
+        picks = F.explode(F.sequence(F.lit(1), F.lit(math.ceil(wanted / (rows * pool_share)))))
+        drawn = (pool.withColumn("pick", picks)
+                 .withColumn("tree", F.pmod(F.xxhash64("k", "pick", F.lit(seed)), F.lit(trees)).cast("int"))
+                 .drop("pick").dropDuplicates(["tree", "k"]))
+    first = Window.partitionBy("tree").orderBy("ticket", "k")
+    draws = (drawn.withColumn("ticket", F.xxhash64("k", "tree", F.lit(seed + 1)))
+             .withColumn("place", F.row_number().over(first)).filter(F.col("place") <= size))
     limit = math.ceil(math.log2(max(2, size)))
 
     def grow(group: pd.DataFrame) -> pd.DataFrame:
@@ -161,7 +166,7 @@ def fit_isolation_forest(df: DataFrame, cols: Sequence[str] = ("temperature", "v
         return pd.DataFrame(lines, columns=[c.split(" ")[0] for c in NODES.split(", ")])
 
     forest.nodes = draws.groupBy("tree").applyInPandas(grow, NODES).toPandas()
-    scores = cut(forest.score(df.select(*cols)).select("isolation_score"))
+    scores = cut(forest.score(spread(df.select(*cols), rows)).select("isolation_score"))
     forest.threshold = exact_quantiles(scores, "isolation_score", [1.0 - contamination])[0]
     return forest
 

@@ -5,21 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kelvibra.settings import LOCATION, MESSAGE_SCHEMA, REQUIRED_FIELDS, WIDE_MESSAGE_SCHEMA
+from kelvibra.settings import MESSAGE_SCHEMA, REQUIRED_FIELDS, WIDE_MESSAGE_SCHEMA
 
 _BAD = "_bad"
 
 
 def _read_json(raw: DataFrame, schema: str) -> DataFrame:
+    """raw and the schema's fields. As a generator the parser runs once per message: a filter on its
+    result is not pushed below it, which would parse again."""
     message = F.from_json("raw", f"{schema}, {_BAD} string", {"columnNameOfCorruptRecord": _BAD})
-    return raw.withColumn("_m", message)
+    return raw.select("raw", F.inline_outer(F.array(message)))
 
 
-def _reject_reason(top_level: list[str], required: dict[str, Column], instant: Column) -> Column:
+def _reject_reason(message: DataFrame, required: dict[str, Column], instant: Column) -> Column:
     """First reason not to use a message, or null. A wrong type damages one field; broken JSON all."""
-    nothing = F.coalesce(*[F.col(f"_m.{c}").cast("string") for c in top_level]).isNull()
-    damaged = F.col(f"_m.{_BAD}").isNotNull()
-    reason = F.when(F.col("_m").isNull() | (damaged & nothing), F.lit("malformed_json"))
+    fields = [c for c in message.columns if c not in ("raw", _BAD)]
+    nothing = F.coalesce(*[F.col(c).cast("string") for c in fields]).isNull()
+    blank = F.coalesce(F.trim("raw"), F.lit("")) == ""
+    damaged = F.col(_BAD).isNotNull()
+    reason = F.when(blank | (damaged & nothing), F.lit("malformed_json"))
     reason = reason.when(damaged, F.lit("bad_type"))
     for name, value in required.items():
         reason = reason.when(value.isNull(), F.lit(f"missing_{name}"))
@@ -29,26 +33,25 @@ def _reject_reason(top_level: list[str], required: dict[str, Column], instant: C
 def parse_messages(raw: DataFrame) -> DataFrame:
     """B1. One row per message (column `raw`): the flattened record and `reject_reason`, null when the
     message can be used. Text timestamps become instants; the text is kept for alert ids."""
-    instant = F.col("_m.timestamp").try_cast("timestamp")
+    message = _read_json(raw, MESSAGE_SCHEMA)
+    instant = F.col("timestamp").try_cast("timestamp")
     fields = {
-        "device_id": F.col("_m.device_id"),
-        "timestamp": F.col("_m.timestamp"),
-        "temperature": F.col("_m.sensor_data.temperature"),
-        "vibration": F.col("_m.sensor_data.vibration"),
+        "device_id": F.col("device_id"),
+        "timestamp": F.col("timestamp"),
+        "temperature": F.col("sensor_data.temperature"),
+        "vibration": F.col("sensor_data.vibration"),
     }
-    reason = _reject_reason(
-        ["device_id", "timestamp", "device_type", "location", "sensor_data", "is_anomaly"],
-        {name: fields[name] for name in REQUIRED_FIELDS}, instant)
-    return _read_json(raw, MESSAGE_SCHEMA).select(
+    reason = _reject_reason(message, {name: fields[name] for name in REQUIRED_FIELDS}, instant)
+    return message.select(
         "raw",
-        fields["device_id"].alias("device_id"),
+        "device_id",
         instant.alias("timestamp"),
-        fields["timestamp"].alias("timestamp_text"),
-        F.col("_m.location").cast(LOCATION).alias("location"),
-        F.col("_m.device_type").alias("device_type"),
+        F.col("timestamp").alias("timestamp_text"),
+        "location",
+        "device_type",
         fields["temperature"].alias("temperature"),
         fields["vibration"].alias("vibration"),
-        F.coalesce("_m.is_anomaly", F.lit(False)).alias("is_anomaly"),
+        F.coalesce("is_anomaly", F.lit(False)).alias("is_anomaly"),
         reason.alias("reject_reason"),
     )
 
@@ -56,14 +59,12 @@ def parse_messages(raw: DataFrame) -> DataFrame:
 def parse_wide_messages(raw: DataFrame) -> DataFrame:
     """Flat messages of the rule consumer. Only unreadable ones are rejected: missing readings have
     defaults in the rule score."""
-    instant = F.col("_m.timestamp").try_cast("timestamp")
-    columns = [c.strip().split(" ")[0] for c in WIDE_MESSAGE_SCHEMA.split(",")]
-    reason = _reject_reason(columns, {"device_id": F.col("_m.device_id"),
-                                      "timestamp": F.col("_m.timestamp")}, instant)
-    kept = [F.col(f"_m.{c}").alias(c) for c in columns if c not in ("timestamp", "is_anomaly")]
-    return _read_json(raw, WIDE_MESSAGE_SCHEMA).select(
-        "raw", *kept, instant.alias("timestamp"),
-        F.coalesce("_m.is_anomaly", F.lit(False)).alias("is_anomaly"), reason.alias("reject_reason"))
+    message = _read_json(raw, WIDE_MESSAGE_SCHEMA)
+    instant = F.col("timestamp").try_cast("timestamp")
+    reason = _reject_reason(message, {c: F.col(c) for c in ("device_id", "timestamp")}, instant)
+    values = {"timestamp": instant, "is_anomaly": F.coalesce("is_anomaly", F.lit(False))}
+    kept = [values.get(c, F.col(c)).alias(c) for c in message.columns if c != _BAD]
+    return message.select(*kept, reason.alias("reject_reason"))
 
 
 def validate_required(parsed: DataFrame) -> DataFrame:

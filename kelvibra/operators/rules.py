@@ -25,6 +25,11 @@ def _text(value: Column) -> Column:
     return value.cast("string")
 
 
+def _list(reason: Column) -> Column:
+    """A list of one reason or of none."""
+    return F.when(reason.isNotNull(), F.array(reason)).otherwise(F.array().cast("array<string>"))
+
+
 def detect_temperature(df: DataFrame, limits: Mapping = S.TEMPERATURE_LIMITS,
                        default: str = S.DEFAULT_DEVICE_TYPE) -> DataFrame:
     """B3. temp_anomaly and temp_reasons. A reading equal to a limit is normal; so is NaN."""
@@ -39,7 +44,7 @@ def detect_temperature(df: DataFrame, limits: Mapping = S.TEMPERATURE_LIMITS,
         .when(hot, F.concat(F.lit("Temperature too high: "), _text(value), F.lit("°C > "),
                             _text(most), F.lit("°C")))
     )
-    return df.withColumns({"temp_anomaly": cold | hot, "temp_reasons": F.array_compact(F.array(reason))})
+    return df.withColumns({"temp_anomaly": cold | hot, "temp_reasons": _list(reason)})
 
 
 def detect_vibration(df: DataFrame, limits: Mapping = S.VIBRATION_LIMITS,
@@ -50,8 +55,7 @@ def detect_vibration(df: DataFrame, limits: Mapping = S.VIBRATION_LIMITS,
     shaken = above(value, most)
     reason = F.when(shaken, F.concat(F.lit("Vibration too high: "), _text(value), F.lit(" mm/s > "),
                                      _text(most), F.lit(" mm/s")))
-    return df.withColumns({"vibration_anomaly": shaken,
-                           "vibration_reasons": F.array_compact(F.array(reason))})
+    return df.withColumns({"vibration_anomaly": shaken, "vibration_reasons": _list(reason)})
 
 
 def combine_flags(df: DataFrame) -> DataFrame:

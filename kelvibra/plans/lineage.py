@@ -20,3 +20,9 @@ def cut(df: DataFrame) -> DataFrame:
             folder = tempfile.mkdtemp(prefix="checkpoint-")
         context.setCheckpointDir(folder)
     return df.checkpoint()
+
+
+def spread(df: DataFrame, rows: int, few: int = 10_000_000) -> DataFrame:
+    """A table of few rows often sits in one file and would keep one core busy with Python work; it is
+    dealt out to all of them. Larger tables already have many partitions and stay as they are."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if rows <= few else df
