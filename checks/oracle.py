@@ -265,6 +265,27 @@ long AS (
   UNPIVOT (y_pred FOR model_name IN (temperature_flag, vibration_flag, critical_flag, ensemble)))"""
 
 
+def least_squares(target: str, other: str) -> str:
+    """Ordinary least squares by taking one feature after another out of all later ones and of the
+    target, with sums over the last 7 days; a prediction is the target less what is left of it."""
+    types = ("industrial_sensor", "hvac_monitor", "machinery_sensor", "purchase")
+    features = ["1::DOUBLE", *[f"(device_type = '{t}')::INT::DOUBLE" for t in types], 'hour("timestamp")::DOUBLE',
+                '(dayofweek("timestamp") + 1)::DOUBLE', "temp_avg_5min", "vibration_avg_5min", other]
+    ctes = VIEW + f""",
+l0 AS (
+  SELECT {', '.join(f'{x} AS x{i}' for i, x in enumerate(features))}, {target} AS y, reading_id, device_id, "timestamp",
+    {target} AS truth, "timestamp" >= as_of - INTERVAL 7 DAY AS fits FROM training, clock)"""
+    for i in range(len(features)):
+        later = [f"x{j}" for j in range(i + 1, len(features))] + ["y"]
+        ctes += f""",
+l{i + 1} AS (
+  SELECT {', '.join(f'{c} - x{i} * (sum({c} * x{i}) FILTER (fits) OVER () / sum(x{i} * x{i}) FILTER (fits) OVER ()) AS {c}'
+                    for c in later)}, reading_id, device_id, "timestamp", truth, fits FROM l{i})"""
+    return select(ctes, f"""
+SELECT reading_id, device_id, "timestamp", {r('truth', target)}, {r('truth - y', f'predicted_{target}')}
+FROM l{len(features)}""")
+
+
 def histogram(ctes: str, table: str, column: str, by: str | None) -> str:
     cls = f"{by}, " if by else ""
     return select(ctes + f""",
@@ -496,6 +517,8 @@ ORDER BY evaluation_timestamp DESC"""),
         "F5_order_summary": summary(7),
         "G1_unified_anomalies": select(DETECTIONS, f"""
 SELECT device_id, "timestamp", {r('anomaly_score')}, anomaly_severity, detection_method FROM detections"""),
+        "J1_fit_temperature": least_squares("temperature", "vibration"),
+        "J2_fit_vibration": least_squares("vibration", "temperature"),
         "J8_distance_anomalies": select(DISTANCES, f"""
 SELECT {s}, {r('distance_to_centroid')},
   CASE WHEN distance_to_centroid > p99 THEN 0.9::DOUBLE ELSE 0.7::DOUBLE END AS anomaly_score,

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from kelvibra.operators.detection import distance_anomalies
 from kelvibra.operators.scans import scan_range
 from kelvibra.operators.stats import distance_quantiles
+from kelvibra.plans.lineage import kept
 
 PROFILE = ("avg_temperature", "avg_vibration", "temp_variability", "vibration_variability",
            "reading_count")
@@ -32,7 +33,8 @@ def fit_clusters(df: DataFrame, cols: Sequence[str], k: int = 5, seed: int = 42)
         StandardScaler(inputCol="_features", outputCol="_scaled", withMean=True, withStd=True),
         KMeans(featuresCol="_scaled", predictionCol="cluster_id", k=k, seed=seed),
     ]
-    return Pipeline(stages=stages).fit(_filled(df, cols).select(*[f"_f_{c}" for c in cols]))
+    with kept(_filled(df, cols).select(*[f"_f_{c}" for c in cols])) as rows:
+        return Pipeline(stages=stages).fit(rows)
 
 
 def _distance(centers) -> Column:

@@ -20,7 +20,7 @@ from kelvibra.functions.expressions import severity_ladder
 from kelvibra.functions.quantiles import exact_quantiles
 from kelvibra.operators.features import ordered_split, scale_minmax, with_sequences
 from kelvibra.operators.scans import scan_range
-from kelvibra.plans.lineage import cut
+from kelvibra.plans.lineage import cut, kept
 
 
 def _square_sum(vector: str) -> Column:
@@ -34,11 +34,13 @@ def _loss(width: int) -> Column:
 def fit_autoencoder(wide: DataFrame, cols: Sequence[str] = S.WIDE_FEATURES, k: int = 4) -> PipelineModel:
     """Standardize, then k components."""
     rows = wide.select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in cols])
-    return Pipeline(stages=[
+    stages = [
         VectorAssembler(inputCols=list(cols), outputCol="_features"),
         StandardScaler(inputCol="_features", outputCol="_centred", withMean=True, withStd=True),
         PCA(inputCol="_centred", outputCol="_parts", k=k),
-    ]).fit(rows)
+    ]
+    with kept(rows) as rows:
+        return Pipeline(stages=stages).fit(rows)
 
 
 def reconstruction_error(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -74,10 +76,12 @@ def sequence_vectors(df: DataFrame, cols: Sequence[str], n: int) -> DataFrame:
 
 
 def fit_sequences(vectors: DataFrame, k: int = 4) -> PipelineModel:
-    return Pipeline(stages=[
+    stages = [
         StandardScaler(inputCol="_flat", outputCol="_centred", withMean=True, withStd=False),
         PCA(inputCol="_centred", outputCol="_parts", k=k),
-    ]).fit(vectors.select("_flat"))
+    ]
+    with kept(vectors.select("_flat")) as rows:
+        return Pipeline(stages=stages).fit(rows)
 
 
 def sequence_anomalies(df: DataFrame, cols: Sequence[str] = ("temperature", "vibration"), n: int = 10,

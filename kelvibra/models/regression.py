@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.stat import Summarizer
@@ -18,6 +18,7 @@ from kelvibra.functions.expressions import calendar_features, severity_ladder
 from kelvibra.operators.evaluation import evaluate
 from kelvibra.operators.features import training_zscore
 from kelvibra.operators.scans import scan_range
+from kelvibra.plans.lineage import kept
 
 TREND_FEATURES = ("hour_of_day", "day_of_week", "temp_avg_5min", "vibration_avg_5min")
 CLASS_FEATURES = (
@@ -27,11 +28,18 @@ CLASS_FEATURES = (
 )
 
 
-def _assemble(numeric: Sequence[str], category: str | None) -> list:
+def _stages(rows: DataFrame, numeric: Sequence[str], category: str | None) -> list:
+    """Feature stages. The rarest level of the category and levels not seen in training share the base
+    level, which has no column of its own, so the columns stay independent of the intercept."""
     if category is None:
         return [VectorAssembler(inputCols=list(numeric), outputCol="features")]
+    levels = StringIndexer(inputCol=category, outputCol="_index", handleInvalid="keep").fit(rows).labels
+    index = StringIndexerModel.from_labels(list(levels[:-1]), inputCol=category, outputCol="_index",
+                                           handleInvalid="keep")
+    if len(levels) == 1:
+        return [index, VectorAssembler(inputCols=list(numeric), outputCol="features")]
     return [
-        StringIndexer(inputCol=category, outputCol="_index", handleInvalid="keep"),
+        index,
         OneHotEncoder(inputCols=["_index"], outputCols=["_type"]),
         VectorAssembler(inputCols=["_type", *numeric], outputCol="features"),
     ]
@@ -47,8 +55,8 @@ def _fit_trend(view: DataFrame, label: str, other: str, as_of, days: int) -> Pip
     # the normal equations need one pass over the rows
     line = LinearRegression(featuresCol="features", labelCol=label, predictionCol=f"predicted_{label}",
                             solver="normal")
-    return Pipeline(stages=[*_assemble([*TREND_FEATURES, other], "device_type"), line]).fit(
-        rows.select("device_type", *TREND_FEATURES, other, label))
+    with kept(rows.select("device_type", *TREND_FEATURES, other, label)) as rows:
+        return Pipeline(stages=[*_stages(rows, [*TREND_FEATURES, other], "device_type"), line]).fit(rows)
 
 
 def fit_temperature(view: DataFrame, as_of=None, days: int = 7) -> PipelineModel:
@@ -80,11 +88,12 @@ def _balanced(rows: DataFrame, label: Column) -> DataFrame:
 
 def _fit_classifier(rows: DataFrame, numeric: Sequence[str], category: str | None, label: str,
                     iterations: int) -> PipelineModel:
-    kept = rows.select(*([category] if category else []), *numeric, F.col(label)) \
+    rows = rows.select(*([category] if category else []), *numeric, F.col(label)) \
         .dropna(subset=[*numeric, label])
     curve = LogisticRegression(featuresCol="features", labelCol="_label", weightCol="_weight",
                                maxIter=iterations)
-    return Pipeline(stages=[*_assemble(numeric, category), curve]).fit(_balanced(kept, F.col(label)))
+    with kept(rows) as rows:
+        return Pipeline(stages=[*_stages(rows, numeric, category), curve]).fit(_balanced(rows, F.col(label)))
 
 
 def classifier_inputs(view: DataFrame) -> DataFrame:
@@ -133,6 +142,7 @@ def feature_importance(model: PipelineModel, rows: DataFrame) -> DataFrame:
         assembled = stage.transform(assembled)
     deviations = assembled.agg(Summarizer.std(F.col("features")).alias("d")).first()["d"].toArray()
     numeric = model.stages[-2].getInputCols()
+    named = named if "_type" in numeric else []
     names = [*named, *[c for c in numeric if c != "_type"]]
     lines = sorted(((n, float(w), float(abs(w) * d)) for n, w, d in
                     zip(names, curve.coefficients.toArray(), deviations)), key=lambda x: -x[2])

@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kelvibra import settings as S
 from kelvibra.functions.expressions import safe_ratio
 from kelvibra.operators.scans import scan_range
-
-BUCKETS = 256
+from kelvibra.plans.lineage import cut
+from kelvibra.plans.slices import MAX_ROWS
 
 
 def _or_zero(num: Column, den: Column) -> Column:
@@ -62,38 +62,38 @@ def class_report(df: DataFrame, by: Sequence[str] = (), **columns) -> DataFrame:
     return counts.select(*by, F.inline(lines))
 
 
-def _score_edges(df: DataFrame, score: str) -> list[float]:
-    """At most BUCKETS ascending cut points at about equal shares of the rows: a bounded list."""
-    probs = [i / BUCKETS for i in range(1, BUCKETS)]
-    cuts = df.agg(F.percentile_approx(score, probs, 10 * BUCKETS)).first()[0] or [0.0]
-    return [float("-inf"), *sorted(set(cuts)), float("inf")]
-
-
-def auc_roc(df: DataFrame, by: Sequence[str] = (), y: str = "y_true", score: str = "score") -> DataFrame:
+def auc_roc(df: DataFrame, by: Sequence[str] = (), y: str = "y_true", score: str = "score",
+            max_rows: int = MAX_ROWS) -> DataFrame:
     """D10. Area under the ROC curve, equal scores counted half: 0 with a single class, null without
-    scores. Exact for any number of distinct scores: rows are counted per score, scores fall into
-    buckets of about equal weight, running totals over buckets give each bucket its start, and only
-    then are the scores of one bucket ordered."""
+    scores. Rows are first counted per score. Where more than max_rows distinct scores are left, they
+    are range-partitioned; sums per slice give each slice its start, and only the scores of one slice
+    are ordered together."""
     by = list(by)
-    edges = _score_edges(df.filter(F.col(score).isNotNull()), score)
     counted = (
         df.filter(F.col(score).isNotNull()).groupBy(*by, F.col(score).cast("double").alias("_s"))
         .agg(F.count_if(F.col(y) == 1).cast("double").alias("_pos"),
              F.count_if(F.col(y) != 1).cast("double").alias("_neg")))
-    counted = Bucketizer(splits=edges, inputCol="_s", outputCol="_b", handleInvalid="keep") \
-        .transform(counted)
-    by_bucket = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (counted.groupBy(*by, "_b").agg(F.sum("_neg").alias("_bneg"))
-              .withColumn("_start", F.coalesce(F.sum("_bneg").over(by_bucket), F.lit(0.0))).drop("_bneg"))
-    inside = Window.partitionBy(*by, "_b").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    placed = (counted.withColumn("_under", F.coalesce(F.sum("_neg").over(inside), F.lit(0.0)))
-              .join(starts, [*by, "_b"]))
-    wins = F.sum(F.col("_pos") * (F.col("_start") + F.col("_under") + F.col("_neg") / 2))
-    area = placed.groupBy(*by).agg(
+    size = counted.count()
+    if size <= max_rows:
+        start = F.lit(0.0)
+        placed = counted.withColumn("_slice", F.lit(0))
+    else:
+        start = F.col("_start")
+        placed = cut(counted.repartitionByRange(math.ceil(size / max_rows), *by, "_s")
+                     .withColumn("_slice", F.spark_partition_id()))
+        before = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+        starts = (placed.groupBy(*by, "_slice").agg(F.sum("_neg").alias("_sum"))
+                  .withColumn("_start", F.coalesce(F.sum("_sum").over(before), F.lit(0.0))).drop("_sum"))
+        placed = placed.join(starts, [*by, "_slice"])
+    inside = Window.partitionBy(*by, "_slice").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    under = start + F.coalesce(F.sum("_neg").over(inside), F.lit(0.0))
+    wins = F.sum(F.col("_pos") * (F.col("_under") + F.col("_neg") / 2))
+    area = placed.withColumn("_under", under).groupBy(*by).agg(
         _or_zero(wins, F.sum("_pos") * F.sum("_neg")).alias("auc_roc"))
+    if not by:
+        return area
     # models whose scores are all missing keep a row, with a null area
-    everyone = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")) if by else None
-    return everyone.select(*by).join(area, by, "left") if by else area
+    return df.select(*by).distinct().join(area, by, "left")
 
 
 def evaluate(df: DataFrame, by: Sequence[str], score: str | None = "score") -> DataFrame:

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 
@@ -22,6 +25,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+@contextmanager
+def kept(df: DataFrame) -> Iterator[DataFrame]:
+    """Keeps rows that the several passes of a fit read, for as long as the fit runs. Lost blocks are
+    computed again."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield df
+    finally:
+        df.unpersist()
+
+
 def spread(df: DataFrame, rows: int, few: int = 10_000_000) -> DataFrame:
     """A table of few rows often sits in one file and would keep one core busy with Python work; it is
     dealt out to all of them. Larger tables already have many partitions and stay as they are."""

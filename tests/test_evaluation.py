@@ -29,9 +29,11 @@ def test_auc_against_pairs(spark):
     for scores in (rng.normal(size=600) + y, rng.integers(0, 4, 600), np.where(rng.random(600) < 0.4, 0.0, rng.random(600))):
         pos, neg = scores[y == 1], scores[y == 0]
         want = np.mean((pos[:, None] > neg) + 0.5 * (pos[:, None] == neg))
-        got = E.auc_roc(labelled(spark, y, y, scores), ["model_name"]).first()["auc_roc"]
-        assert got == pytest.approx(want, abs=1e-12)
-        assert E.auc_roc(labelled(spark, y, y, scores)).first()["auc_roc"] == pytest.approx(want, abs=1e-12)
+        table = labelled(spark, y, y, scores)
+        for by in (["model_name"], []):
+            for max_rows in (100_000, 3, 50):
+                got = E.auc_roc(table, by, max_rows=max_rows).first()["auc_roc"]
+                assert got == pytest.approx(want, abs=1e-12)
 
 
 def test_auc_without_scores(spark):
