@@ -18,6 +18,7 @@ from kelvibra.operators import features as W
 from kelvibra.operators import parsing as P
 from kelvibra.operators import rules as R
 from kelvibra.operators import scans, stats
+from kelvibra.plans.lineage import cut
 from kelvibra.streaming.jobs import alert_lines, anomaly_subscription
 from kelvibra.streaming.rates import anomaly_rates
 
@@ -175,7 +176,9 @@ def d6(column):
 
 
 def d6z(spark, sf):
-    return stats.histogram(W.dashboard_zscore(X.flagged(spark, sf)), "temp_z_score", by=None)
+    # the histogram reads its column twice: the window runs once
+    return stats.histogram(cut(W.dashboard_zscore(X.flagged(spark, sf)).select("temp_z_score")),
+                           "temp_z_score", by=None)
 
 
 # --- 2.5 ---------------------------------------------------------------------------------------------------

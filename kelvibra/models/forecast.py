@@ -1,8 +1,8 @@
 """J9. Hourly temperature forecast per device: a straight trend plus an hour-of-day effect.
 
 It is not an ARIMA model. Readings are reduced to six sums per device, type and hour before anything is
-shuffled, and trend, effects and residual deviation follow from those sums, so the readings are read
-once and never joined. An hour with fewer than `min_cell` readings takes its device type's effect.
+shuffled; these are written once, and trend, effects and residual deviation follow from them, so the
+readings are read once and never joined. An hour with fewer than `min_cell` readings takes its device type's effect.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kelvibra.operators.scans import range_start
+from kelvibra.plans.lineage import cut
 
 
 def _hours_since(moment: Column, origin: Column) -> Column:
@@ -31,7 +32,6 @@ def forecast_temperature(df: DataFrame, as_of=None, horizon: int = 24, level: fl
     first = F.date_trunc("hour", range_start(df, f"{horizon - 1} HOURS", as_of)).cast(kind)
     origin = start.cast("date")
     t, y = _hours_since(F.col("timestamp"), origin), F.col("temperature")
-    latest = F.max(F.struct("timestamp", "device_type"))
 
     cells = (
         df.filter((F.col("timestamp") >= start) & (F.col("timestamp") < first))
@@ -40,7 +40,8 @@ def forecast_temperature(df: DataFrame, as_of=None, horizon: int = 24, level: fl
         .groupBy("device_id", "device_type", "hour")
         .agg(F.count("y").alias("n"), F.sum("y").alias("sy"), F.sum("t").alias("st"),
              F.sum(F.col("y") * F.col("y")).alias("syy"), F.sum(F.col("t") * F.col("y")).alias("sty"),
-             F.sum(F.col("t") * F.col("t")).alias("stt"), latest.alias("latest")))
+             F.sum(F.col("t") * F.col("t")).alias("stt"), F.max("timestamp").alias("latest")))
+    cells = cut(cells)  # read for the devices and for the types
 
     device = Window.partitionBy("device_id")
     total = {c: F.sum(c).over(device) for c in ("n", "sy", "st", "sty", "stt")}
@@ -50,7 +51,7 @@ def forecast_temperature(df: DataFrame, as_of=None, horizon: int = 24, level: fl
     trended = (
         cells.withColumn("b", slope)
         .withColumn("a", (total["sy"] - F.col("b") * total["st"]) / total["n"])
-        .withColumn("own_type", F.max("latest").over(device)["device_type"])
+        .withColumn("own_type", F.max_by("device_type", "latest").over(device))
         .withColumns({
             "r": F.col("sy") - a * n - b * F.col("st"),
             "rr": F.col("syy") + n * a * a + b * b * F.col("stt") - 2 * a * F.col("sy")

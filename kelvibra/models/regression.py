@@ -126,10 +126,10 @@ def supervised_anomalies(model: PipelineModel, wide: DataFrame, as_of=None, days
 def evaluate_classifier(model: PipelineModel, view: DataFrame, as_of=None, days: int = 1) -> DataFrame:
     """J5. D9 and D10 over the last day's rows."""
     scored = predict(model, scan_range(classifier_inputs(view), f"{days} DAYS", as_of))
-    return evaluate(scored.select(
-        F.lit("anomaly_classification").alias("model_name"), F.col("label").cast("int").alias("y_true"),
-        F.col("prediction").cast("int").alias("y_pred"), F.col("anomaly_probability").alias("score")),
-        ["model_name"])
+    lines = evaluate(scored.select(
+        F.col("label").cast("int").alias("y_true"), F.col("prediction").cast("int").alias("y_pred"),
+        F.col("anomaly_probability").alias("score")))
+    return lines.withColumn("model_name", F.lit("anomaly_classification"))
 
 
 def feature_importance(model: PipelineModel, rows: DataFrame) -> DataFrame:

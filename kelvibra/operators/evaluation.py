@@ -96,12 +96,13 @@ def auc_roc(df: DataFrame, by: Sequence[str] = (), y: str = "y_true", score: str
     return df.select(*by).distinct().join(area, by, "left")
 
 
-def evaluate(df: DataFrame, by: Sequence[str], score: str | None = "score") -> DataFrame:
+def evaluate(df: DataFrame, by: Sequence[str] = (), score: str | None = "score") -> DataFrame:
     """D9 with D10 beside it."""
     metrics = classification_metrics(df, by)
     if score is None:
         return metrics.withColumn("auc_roc", F.lit(None).cast("double"))
-    return metrics.join(auc_roc(df, by, score=score), list(by))
+    area = auc_roc(df, by, score=score)
+    return metrics.join(area, list(by)) if by else metrics.withColumn("auc_roc", area.scalar())
 
 
 def evaluate_all(predictions: DataFrame, models: Sequence[str], y: str = "y_true") -> DataFrame:

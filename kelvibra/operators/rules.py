@@ -9,14 +9,15 @@ from pyspark.sql import functions as F
 
 from kelvibra import settings as S
 from kelvibra.functions.expressions import above, below, choose, col, iso_text
+from kelvibra.plans.broadcasts import broadcast_if_few
 
 
 def limits_lookup(df: DataFrame, limits: DataFrame, default: str = S.DEFAULT_DEVICE_TYPE) -> DataFrame:
     """C4. Limits from a table (device_type, then limit columns), for configurations kept as data; the
-    row of the default type serves unknown and null types. Spark broadcasts the table by its size."""
+    row of the default type serves unknown and null types. A short table is broadcast."""
     names = [c for c in limits.columns if c != "device_type"]
     fallback = limits.filter(F.col("device_type") == default)
-    joined = df.join(limits, "device_type", "left")
+    joined = df.join(broadcast_if_few(limits), "device_type", "left")
     return joined.withColumns({
         c: F.coalesce(F.col(c), fallback.select(c).scalar()) for c in names})
 

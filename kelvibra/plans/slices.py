@@ -17,10 +17,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from kelvibra.plans.broadcasts import FEW_ROWS
 from kelvibra.plans.lineage import cut
 
 MAX_ROWS = 2_000_000
-LOCAL_KEYS = 10_000
 
 KEYS = ("device_id",)
 ORDER = ("timestamp", "reading_id")
@@ -34,17 +34,17 @@ class HotSeries:
 
 
 def hot_series(df: DataFrame, keys: Sequence[str], max_rows: int) -> HotSeries | None:
-    """One count per series; None if none is hot. At most rows / max_rows series are. Up to LOCAL_KEYS
-    of them become a local table, which Spark may broadcast by its known size; a longer list stays
-    distributed and is joined as Spark sees fit. A null key is left to the plain path, as joins would
-    not match it."""
+    """One count per series; None if none is hot. At most rows / max_rows series are. Up to FEW_ROWS of
+    them become a local table to broadcast; a longer list stays distributed and is joined as Spark
+    sees fit. A null key is left to the plain path, as joins would not match it."""
     counts = df.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     hot = counts.filter(F.col("_n") > max_rows)
-    found = hot.take(LOCAL_KEYS + 1)
+    found = hot.take(FEW_ROWS + 1)
     if not found:
         return None
-    if len(found) <= LOCAL_KEYS:
-        return HotSeries(df.sparkSession.createDataFrame(found, hot.schema), sum(r["_n"] for r in found))
+    if len(found) <= FEW_ROWS:
+        few = df.sparkSession.createDataFrame(found, hot.schema)
+        return HotSeries(F.broadcast(few), sum(r["_n"] for r in found))
     hot = cut(hot)
     return HotSeries(hot, hot.agg(F.sum("_n")).first()[0])
 
