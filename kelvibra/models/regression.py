@@ -18,7 +18,7 @@ from kelvibra.functions.expressions import calendar_features, severity_ladder
 from kelvibra.operators.evaluation import evaluate
 from kelvibra.operators.features import training_zscore
 from kelvibra.operators.scans import scan_range
-from kelvibra.plans.lineage import kept
+from kelvibra.plans.lineage import cut, kept
 
 TREND_FEATURES = ("hour_of_day", "day_of_week", "temp_avg_5min", "vibration_avg_5min")
 CLASS_FEATURES = (
@@ -126,9 +126,9 @@ def supervised_anomalies(model: PipelineModel, wide: DataFrame, as_of=None, days
 def evaluate_classifier(model: PipelineModel, view: DataFrame, as_of=None, days: int = 1) -> DataFrame:
     """J5. D9 and D10 over the last day's rows."""
     scored = predict(model, scan_range(classifier_inputs(view), f"{days} DAYS", as_of))
-    lines = evaluate(scored.select(
+    lines = evaluate(cut(scored.select(
         F.col("label").cast("int").alias("y_true"), F.col("prediction").cast("int").alias("y_pred"),
-        F.col("anomaly_probability").alias("score")))
+        F.col("anomaly_probability").alias("score"))))
     return lines.withColumn("model_name", F.lit("anomaly_classification"))
 
 

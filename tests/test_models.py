@@ -28,12 +28,14 @@ def cloud(spark):
 
 @pytest.fixture(scope="module")
 def readings(spark, sf):
-    return fixtures.readings(spark, sf).select("reading_id", "device_id", "timestamp", "temperature", "vibration").cache()
+    return fixtures.readings(spark, sf).select("reading_id", "device_id", "timestamp", "temperature", "vibration")
 
 
 @pytest.fixture(scope="module")
 def view(spark, sf):
-    return W.training_view(fixtures.stored(spark, sf)).cache()
+    rows = W.training_view(fixtures.stored(spark, sf)).cache()
+    yield rows
+    rows.unpersist()
 
 
 def test_mean_path():
