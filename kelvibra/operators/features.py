@@ -122,42 +122,48 @@ def fill_gaps(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = KEYS,
               order: Sequence[str] = ORDER, max_rows: int = MAX_ROWS) -> DataFrame:
     """E8. Each null or NaN takes the next known value of its series, else the last one before it.
 
-    A long series is cut into slices; what a slice lacks comes from the first known value of the
-    slices after it or the last of those before, found on one line per slice."""
+    Both directions are running windows, backwards on the reversed order: Spark evaluates a frame that
+    ends at the partition's end anew for every row. A long series is cut into slices; what a slice
+    lacks comes from the first known value of the slices after it or the last of those before, found
+    on one line per slice."""
     keys, order = list(keys), [c for c in order if c in df.columns]
+    running = (Window.unboundedPreceding, Window.currentRow)
 
-    def fill(rows: DataFrame, w: WindowSpec, after: str | None = None, before: str | None = None):
-        ahead = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-        behind = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        filled = {}
-        for c in cols:
-            candidates = [F.first(_known(c), ignorenulls=True).over(ahead)]
-            candidates += [F.col(f"{after}{c}")] if after else []
-            candidates.append(F.last(_known(c), ignorenulls=True).over(behind))
-            candidates += [F.col(f"{before}{c}")] if before else []
-            filled[c] = F.coalesce(*candidates)
-        return rows.withColumns(filled)
+    def latest(value: Column, by: Sequence[str], along: Sequence[Column], frame=running) -> Column:
+        window = Window.partitionBy(*by).orderBy(*along).rowsBetween(*frame)
+        return F.last(value, ignorenulls=True).over(window)
+
+    def both(names: Sequence[str]) -> tuple[list[Column], list[Column]]:
+        return [F.asc(c) for c in names], [F.desc(c) for c in names]
+
+    onwards, backwards = both(order)
+
+    def fill(rows: DataFrame, by: Sequence[str], carried: bool = False) -> DataFrame:
+        """The next known value, else what later slices carry, else the last, else what earlier carry."""
+        def value(c: str) -> Column:
+            ahead, behind = latest(_known(c), by, backwards), latest(_known(c), by, onwards)
+            if carried:
+                return F.coalesce(ahead, f"_after_{c}", behind, f"_before_{c}")
+            return F.coalesce(ahead, behind)
+        return rows.withColumns({c: value(c) for c in cols})
 
     hot = hot_series(df, keys, max_rows)
     if hot is None:
-        return fill(df, Window.partitionBy(*keys).orderBy(*order))
-    cold = fill(cold_rows(df, hot, keys), Window.partitionBy(*keys).orderBy(*order))
+        return fill(df, keys)
+    cold = fill(cold_rows(df, hot, keys), keys)
     rows = in_slices(df, hot, keys, order, max_rows)
+    known = {c: F.when(_known(c).isNotNull(), F.struct(*order, F.col(c).alias("_v"))) for c in cols}
     ends = rows.groupBy(*keys, "_slice").agg(
-        *[F.min(F.when(_known(c).isNotNull(), F.struct(*order, F.col(c).alias("_v")))).alias(f"_first_{c}")
-          for c in cols],
-        *[F.max(F.when(_known(c).isNotNull(), F.struct(*order, F.col(c).alias("_v")))).alias(f"_last_{c}")
-          for c in cols])
-    by_slice = Window.partitionBy(*keys).orderBy("_slice")
-    later = by_slice.rowsBetween(1, Window.unboundedFollowing)
-    earlier = by_slice.rowsBetween(Window.unboundedPreceding, -1)
+        *[F.min(v).alias(f"_first_{c}") for c, v in known.items()],
+        *[F.max(v).alias(f"_last_{c}") for c, v in known.items()])
+    others = (Window.unboundedPreceding, -1)
+    up, down = both(["_slice"])
     carried = ends.select(
         *keys, "_slice",
-        *[F.first(F.col(f"_first_{c}._v"), ignorenulls=True).over(later).alias(f"_after_{c}") for c in cols],
-        *[F.last(F.col(f"_last_{c}._v"), ignorenulls=True).over(earlier).alias(f"_before_{c}") for c in cols])
-    joined = rows.join(carried, [*keys, "_slice"])
-    hot_out = fill(joined, Window.partitionBy(*keys, "_slice").orderBy(*order), "_after_", "_before_")
-    return cold.unionByName(hot_out.select(*cold.columns))
+        *[latest(F.col(f"_first_{c}._v"), keys, down, others).alias(f"_after_{c}") for c in cols],
+        *[latest(F.col(f"_last_{c}._v"), keys, up, others).alias(f"_before_{c}") for c in cols])
+    filled = fill(rows.join(carried, [*keys, "_slice"]), [*keys, "_slice"], carried=True)
+    return cold.unionByName(filled.select(*cold.columns))
 
 
 def with_sequences(df: DataFrame, cols: Sequence[str] = VALUES, n: int = 10, **series) -> DataFrame:
