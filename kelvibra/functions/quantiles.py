@@ -36,6 +36,13 @@ def _value_at(values: DataFrame, rank: int, size: int, keep: int) -> float:
     return values.agg(F.sort_array(F.collect_list("x"))[rank]).first()[0]
 
 
+def _next_value(values: DataFrame, low: float, rank: int) -> float:
+    """Value at rank + 1, where low is the value at rank."""
+    x = F.col("x")
+    reach, above = values.agg(F.count_if(x <= low), F.min(F.when(x > low, x))).first()
+    return low if reach > rank + 1 else above
+
+
 def exact_quantiles(df: DataFrame, column: str, probs, method: str = "linear",
                     keep: int = 100_000) -> list[float | None]:
     """Exact quantiles. `linear` interpolates between neighbours, `disc` takes the first value whose
@@ -55,6 +62,6 @@ def exact_quantiles(df: DataFrame, column: str, probs, method: str = "linear",
         place = p * (size - 1)
         low = _value_at(values, math.floor(place), size, keep)
         part = place - math.floor(place)
-        high = _value_at(values, math.ceil(place), size, keep) if part else low
+        high = _next_value(values, low, math.floor(place)) if part else low
         out.append(low + part * (high - low))
     return out

@@ -23,11 +23,17 @@ BINS = 1024
 
 
 def _cosines(x: np.ndarray, seed: int, features: int) -> np.ndarray:
-    """Random features for gamma = 1 / columns, the usual choice on standardized columns."""
+    """Random features for gamma = 1 / columns, the usual choice on standardized columns. Single
+    precision: the approximation of the kernel is far coarser."""
     rng = np.random.default_rng(seed)
     width = x.shape[1]
-    directions = rng.normal(0.0, np.sqrt(2.0 / width), (width, features))
-    return np.sqrt(2.0 / features) * np.cos(x @ directions + rng.uniform(0, 2 * np.pi, features))
+    directions = rng.normal(0.0, np.sqrt(2.0 / width), (width, features)).astype(np.float32)
+    shifts = rng.uniform(0, 2 * np.pi, features).astype(np.float32)
+    waves = x.astype(np.float32) @ directions
+    waves += shifts
+    np.cos(waves, out=waves)
+    waves *= np.float32(np.sqrt(2.0 / features))
+    return waves
 
 
 @dataclass
@@ -45,10 +51,13 @@ class OneClassBoundary:
         return [F.coalesce((F.col(c).cast("double") - F.lit(m)) / F.lit(s), F.lit(0.0)).alias(f"x{i}")
                 for i, (c, m, s) in enumerate(zip(self.cols, self.centre, self.scale))]
 
+    def _settings(self) -> tuple[np.ndarray, float, int, int]:
+        return np.array(self.weights, dtype=np.float32), self.offset, self.features, self.seed
+
     def _pass(self, inputs: DataFrame, everyone: bool = False) -> tuple[np.ndarray, float, float]:
         """One pass: the feature sum over rows inside the margin (or all), their number, and the nu
         quantile of w.f, read off a histogram over the range that w.f cannot leave."""
-        w, rho, features, seed = np.array(self.weights), self.offset, self.features, self.seed
+        w, rho, features, seed = self._settings()
         reach = np.sqrt(2.0) * np.linalg.norm(w) or 1.0
         slots = features + 1 + BINS
 
@@ -58,7 +67,7 @@ class OneClassBoundary:
                 f = _cosines(batch.to_numpy(), seed, features)
                 value = f @ w
                 chosen = f if everyone else f[value < rho]
-                total[:features] += chosen.sum(axis=0)
+                total[:features] += chosen.sum(axis=0, dtype=float)
                 total[features] += len(chosen)
                 total[features + 1:] += np.histogram(value, BINS, (-reach, reach))[0]
             yield pd.DataFrame({"slot": np.arange(slots), "total": total})
@@ -71,12 +80,12 @@ class OneClassBoundary:
         return out[:features], float(out[features]), reach * (2.0 * (edge + 1) / BINS - 1.0)
 
     def decide(self, df: DataFrame, name: str = "boundary_decision") -> DataFrame:
-        w, rho, features, seed = np.array(self.weights), self.offset, self.features, self.seed
+        w, rho, features, seed = self._settings()
 
         @F.pandas_udf("double")
         def decision(*columns: pd.Series) -> pd.Series:
             x = np.column_stack([c.to_numpy() for c in columns])
-            return pd.Series(_cosines(x, seed, features) @ w - rho)
+            return pd.Series((_cosines(x, seed, features) @ w).astype(float) - rho)
 
         return df.withColumn(name, decision(*self._scaled()))
 

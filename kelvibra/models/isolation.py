@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from kelvibra.functions.quantiles import exact_quantiles
 from kelvibra.plans.lineage import cut, spread
 
-NODES = "tree int, node int, feature int, split double, below int, above int, depth double"
+NODES = "tree int, node int, feature int, split double, child int, depth double"
 HASH_SPACE = 1 << 30
 
 
@@ -32,28 +32,27 @@ def mean_path(size) -> np.ndarray:
 
 
 def _grow(tree: int, x: np.ndarray, limit: int, seed: int) -> list[tuple]:
-    """Random splits until rows are alone, equal, or `limit` deep. Leaves have feature -1."""
+    """Random splits until rows are alone, equal, or `limit` deep. A row goes to node `child` up to the
+    split value and to the next node above it; a leaf is its own child and has no value above it."""
     rng = np.random.default_rng([seed, tree])
-    nodes: list = []
-    todo = [(np.arange(len(x)), 0, None, 0)]
+    nodes: list = [None]
+    todo = [(np.arange(len(x)), 0, 0)]
     while todo:
-        rows, level, parent, side = todo.pop()
-        number = len(nodes)
-        if parent is not None:
-            nodes[parent][side] = number
+        rows, level, number = todo.pop()
         part = x[rows]
-        spread = np.flatnonzero(part.max(axis=0) > part.min(axis=0)) if len(rows) else []
-        if level >= limit or len(rows) <= 1 or len(spread) == 0:
-            nodes.append([tree, number, -1, 0.0, number, number, level + float(mean_path(len(rows)))])
+        spread_out = np.flatnonzero(part.max(axis=0) > part.min(axis=0))
+        if level >= limit or len(spread_out) == 0:
+            nodes[number] = (tree, number, 0, np.inf, number, level + float(mean_path(len(rows))))
             continue
-        feature = int(rng.choice(spread))
+        feature = int(rng.choice(spread_out))
         values = part[:, feature]
         split = float(rng.uniform(values.min(), values.max()))
-        goes_below = values <= split
-        nodes.append([tree, number, feature, split, -1, -1, 0.0])
-        todo.append((rows[~goes_below], level + 1, number, 5))
-        todo.append((rows[goes_below], level + 1, number, 4))
-    return [tuple(n) for n in nodes]
+        child = len(nodes)
+        nodes[number] = (tree, number, feature, split, child, 0.0)
+        nodes += [None, None]
+        todo.append((rows[values > split], level + 1, child + 1))
+        todo.append((rows[values <= split], level + 1, child))
+    return nodes
 
 
 @dataclass
@@ -73,28 +72,25 @@ class IsolationForest:
     def score(self, df: DataFrame, name: str = "isolation_score") -> DataFrame:
         """Adds the score, 0 to 1; higher is more isolated."""
         width = int(self.nodes["node"].max()) + 1
-        packed = {}
-        for c in ("feature", "split", "below", "above", "depth"):
-            table = np.zeros((self.trees, width))
-            table[self.nodes["tree"], self.nodes["node"]] = self.nodes[c]
-            packed[c] = table if c in ("split", "depth") else table.astype(np.int32)
-        shared = df.sparkSession.sparkContext.broadcast(packed)
+        tables = {}
+        for c in ("feature", "split", "child", "depth"):
+            tables[c] = np.zeros((self.trees, width), dtype=float if c in ("split", "depth") else np.intp)
+            tables[c][self.nodes["tree"], self.nodes["node"]] = self.nodes[c]
+        shared = df.sparkSession.sparkContext.broadcast(tables)
         usual, steps = float(mean_path(self.sample)), math.ceil(math.log2(max(2, self.sample)))
 
         @F.pandas_udf("double")
         def isolation(*columns: pd.Series) -> pd.Series:
-            t = shared.value
-            x = np.column_stack([c.to_numpy() for c in columns])
-            every = np.arange(len(x))
-            depth = np.zeros(len(x))
-            for tree in range(len(t["feature"])):
-                at = np.zeros(len(x), dtype=np.int32)
+            t, rows = shared.value, len(columns[0])
+            values = np.concatenate([c.to_numpy() for c in columns])
+            every, depth = np.arange(rows), np.zeros(rows)
+            for feature, split, child, ends in zip(t["feature"], t["split"], t["child"], t["depth"]):
+                at = np.zeros(rows, dtype=np.intp)
                 for _ in range(steps):
-                    feature = t["feature"][tree][at]
-                    low = x[every, np.maximum(feature, 0)] <= t["split"][tree][at]
-                    at = np.where(low, t["below"][tree][at], t["above"][tree][at])
-                depth += t["depth"][tree][at]
-            return pd.Series(np.exp2(-depth / len(t["feature"]) / usual))
+                    value = values.take(feature.take(at) * rows + every)
+                    at = child.take(at) + (value > split.take(at))
+                depth += ends.take(at)
+            return pd.Series(np.exp2(-depth / len(t["depth"]) / usual))
 
         return df.withColumn(name, isolation(*self._scaled()))
 
@@ -156,7 +152,9 @@ def fit_isolation_forest(df: DataFrame, cols: Sequence[str] = ("temperature", "v
                  .withColumn("tree", F.pmod(F.xxhash64("k", "pick", F.lit(seed)), F.lit(trees)).cast("int"))
                  .drop("pick").dropDuplicates(["tree", "k"]))
     first = Window.partitionBy("tree").orderBy("ticket", "k")
-    draws = (drawn.withColumn("ticket", F.xxhash64("k", "tree", F.lit(seed + 1)))
+    tasks = min(trees, df.sparkSession.sparkContext.defaultParallelism)  # few bytes, but work for all
+    draws = (drawn.repartition(tasks, "tree")
+             .withColumn("ticket", F.xxhash64("k", "tree", F.lit(seed + 1)))
              .withColumn("place", F.row_number().over(first)).filter(F.col("place") <= size))
     limit = math.ceil(math.log2(max(2, size)))
 

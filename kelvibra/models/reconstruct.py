@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from kelvibra import settings as S
 from kelvibra.functions.expressions import severity_ladder
 from kelvibra.functions.quantiles import exact_quantiles
-from kelvibra.operators.features import ordered_split, scale_minmax, with_sequences
+from kelvibra.operators.features import scale_minmax, with_sequences
 from kelvibra.operators.scans import scan_range
 from kelvibra.plans.lineage import cut, kept
 
@@ -89,12 +89,13 @@ def sequence_anomalies(df: DataFrame, cols: Sequence[str] = ("temperature", "vib
                        model: PipelineModel | None = None) -> DataFrame:
     """J14. sequence_error and sequence_anomaly of every row: 1 on the last row of a sequence whose error
     exceeds the batch's `pct` quantile, 0 elsewhere and on each device's first n - 1 rows. Without a
-    given model the first `share` of each device's sequences train it."""
+    given model the sequences of the first `share` of the readings in time train it."""
     vectors = sequence_vectors(df, cols, n)
     if model is None:
-        model = fit_sequences(ordered_split(vectors.filter("is_full"), share).filter("is_train"), k)
+        until = df.agg(F.percentile_approx("timestamp", share, 10_000).alias("t")).scalar()
+        model = fit_sequences(vectors.filter(F.col("is_full") & (F.col("timestamp") <= until)), k)
     error = F.when(F.col("is_full"), _loss(n * len(cols)))
-    scored = model.transform(vectors).select(*df.columns, error.alias("sequence_error"))
-    limit = exact_quantiles(cut(scored.select("sequence_error")), "sequence_error", [pct])[0]
+    scored = cut(model.transform(vectors).select(*df.columns, error.alias("sequence_error")))
+    limit = exact_quantiles(scored, "sequence_error", [pct])[0]
     flag = F.coalesce((F.col("sequence_error") > F.lit(limit)).cast("int"), F.lit(0))
     return scored.withColumn("sequence_anomaly", flag)
