@@ -174,8 +174,8 @@ latest AS (
   FROM recent GROUP BY model_name)"""
 
 
-def r(expr: str, name: str | None = None) -> str:
-    return f"round({expr}, 6) + 0.0::DOUBLE AS {name or expr}"
+def r(expr: str, name: str | None = None, digits: int = 6) -> str:
+    return f"round({expr}, {digits}) + 0.0::DOUBLE AS {name or expr}"
 
 
 def rs(*names: str) -> str:
@@ -397,8 +397,8 @@ FROM limits"""),
 SELECT device_id, anomaly_severity, count(*) AS readings, {r('avg(anomaly_score)', 'avg_score')}
 FROM flagged GROUP BY device_id, anomaly_severity"""),
         "D1_device_profile": select(READINGS, f"""
-SELECT device_id, device_type, {r('avg(temperature)', 'avg_temperature')}, {r('avg(vibration)', 'avg_vibration')},
-  {r('stddev_samp(temperature)', 'temp_variability')}, {r('stddev_samp(vibration)', 'vibration_variability')},
+SELECT device_id, device_type, {r('avg(temperature)', 'avg_temperature', 8)}, {r('avg(vibration)', 'avg_vibration', 8)},
+  {r('stddev_samp(temperature)', 'temp_variability', 8)}, {r('stddev_samp(vibration)', 'vibration_variability', 8)},
   count(*) AS reading_count
 FROM readings, clock WHERE "timestamp" >= as_of - INTERVAL 7 DAY GROUP BY device_id, device_type"""),
         "D2_anomaly_summary": summary(1),
