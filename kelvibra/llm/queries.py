@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from kelvibra.llm import exact, language, licenses, pieces, quality, sharding, urls
+from kelvibra.llm import exact, language, licenses, minhash, pieces, quality, sharding, urls
 from kelvibra.llm import settings as S
 from kelvibra.llm.stores import remainder, stored
 
@@ -30,6 +30,11 @@ def op4(spark: SparkSession, sf: str) -> DataFrame:
         F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    return minhash.find_near(table(spark, sf, "documents")).select(
+        F.col("id").alias("doc_id"), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 def op6(spark: SparkSession, sf: str) -> DataFrame:
     return sharding.interleave(table(spark, sf, "documents")).select(
         F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
@@ -65,6 +70,7 @@ def build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_network": op1,
         "op4_exact_stream": op4,
+        "op5_bbit_minhash": op5,
         "op6_interleaved_shards": op6,
         "op7_sentencepiece_spans": op7,
         "op8_license_bands": op8,
