@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kelvibra.llm import exact, pieces, quality
+from kelvibra.llm import decontamination, exact, minhash, pieces, quality
 from kelvibra.llm import settings as S
 from kelvibra.llm.stores import remainder, stored
 
@@ -21,6 +21,16 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact.deduplicated(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near copies."""
+    return minhash.deduplicated(docs)
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontamination.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document with its ids and the source bytes its pieces cover, digested."""
     return docs.select("doc_id", pieces.digests(S.PIECE_MODEL).alias("_d")).select("doc_id", "_d.*")
@@ -29,6 +39,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality classifier", keep_good),
     ("exact dedup", drop_copies),
+    ("near dedup", drop_near_copies),
+    ("decontamination", drop_benchmark),
     ("sentencepiece", encode),
 ]
 

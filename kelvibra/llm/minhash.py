@@ -117,7 +117,7 @@ def _open(rows: DataFrame) -> DataFrame:
     return rows.join(live, "bucket", "left_semi")
 
 
-def _pairs(rows: DataFrame, facts: DataFrame, number: int, slack: float, percent: int, pivots: int) -> DataFrame:
+def _best(rows: DataFrame, facts: DataFrame, number: int, pivots: int) -> DataFrame:
     """The round's pivots: of each bucket's components, dealt to a few slots, the best connected class."""
     slot = F.pmod(F.xxhash64("component", F.lit(number)), F.lit(pivots))
     best = rows.groupBy("bucket", slot.alias("slot")).agg(F.max(F.struct("degree", "node", "component")).alias("p"))
@@ -153,7 +153,7 @@ def links(rows: DataFrame, docs: DataFrame, percent: int = PERCENT, pivots: int
     found = spark.createDataFrame([], "a long, b long")
     number = 0
     while rows.take(1):
-        best = stored(_pairs(rows, facts, number, slack, percent, pivots))
+        best = stored(_best(rows, facts, number, pivots))
         most = F.least("shared", "p_shared")
         possible = most * 100 >= (F.col("n") + F.col("p_n") - most) * percent
         met = (F.col("component") != F.col("p_component")) & possible & (estimate("low", "p_low") >= t - slack)

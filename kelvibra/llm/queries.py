@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from kelvibra.llm import exact, language, licenses, minhash, pieces, quality, sharding, urls
+from kelvibra.llm import decontamination, exact, language, licenses, minhash, pieces, quality, scoring, sharding, urls
 from kelvibra.llm import settings as S
 from kelvibra.llm.stores import remainder, stored
 
@@ -25,6 +25,16 @@ def op1(spark: SparkSession, sf: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    found = decontamination.find_items(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.withColumnsRenamed({"id": "doc_id", "item": "item_id"})
+
+
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", (remainder("doc_id", 7) == 2).alias("held_out"), "text")
+    return scoring.score(docs, docs.filter("NOT held_out"))
+
+
 def op4(spark: SparkSession, sf: str) -> DataFrame:
     return exact.find_copies(table(spark, sf, "documents")).select(
         F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
@@ -69,6 +79,8 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
 def build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_network": op1,
+        "op2_simhash_windows": op2,
+        "op3_bloom_lm": op3,
         "op4_exact_stream": op4,
         "op5_bbit_minhash": op5,
         "op6_interleaved_shards": op6,
