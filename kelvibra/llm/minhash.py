@@ -1,20 +1,19 @@
 """Near-duplicate detection by b-bit MinHash.
 
 A document is the set of its distinct five-word shingles. 160 minima per document make 40 band keys of four
-minima each, and their low four bits are packed into a signature of 96 bytes. Documents with a band key in
-common are candidates; the share of equal low bits, counted with exclusive or and bit counts and corrected
-for chance (one in sixteen), estimates their similarity; what may reach the threshold is confirmed on the full
-sets. At a similarity of 0.75 all bands miss a pair with a probability of 3e-7, and the estimate, taken with
-five standard deviations of slack, with about the same.
+minima each; documents with a band key in common are candidates. Of 1,024 minima of every candidate the low
+two bits are kept and packed into 256 bytes. The share of equal low bits, counted with exclusive or and bit
+counts and corrected for chance (one in four), estimates the similarity of a pair; what may reach the
+threshold is confirmed on the full sets. At a similarity of 0.75 all bands miss a pair with a probability of
+3e-7, and so does the estimate, which is given five standard deviations of slack.
 
 Documents with the same sequence of words are one class. Within a band's bucket classes are not paired with
-each other but with a few pivots per round, and only across components: classes that are connected already
-need no pair. A class that has met its bucket as a pivot leaves the bucket; a bucket within one component is
+each other. In the first round they meet the class of their bucket that shares most bands with others; after
+that, up to 512 pivots from outside that class's component, and only if of another component: classes that
+are connected already need no pair. Within the join a pair is kept only if its signatures are alike and no
+earlier band has it. A class that has been a pivot leaves the bucket, a bucket within one component is
 settled. So a group of near copies costs about one pair per member and band, and no link is lost.
 
-Two bounds keep hopeless pairs out before they are written: shingles that no other candidate has cannot be
-shared, and sets of too different sizes cannot be similar.
-
 Defined results: a document without words, or null, has no shingles and is linked with nothing; a null id
 comes after all others; `stays` is true for exactly one row per component, the first by id, file and row.
 """
@@ -23,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,44 +34,45 @@ from kelvibra.llm.components import connected
 from kelvibra.llm.stores import FILE, ROW, broadcast_rows, located, stored
 
 WIDTH = 5
-BAND_ROWS, BANDS, BITS = 4, 40, 4
-MINIMA = BAND_ROWS * BANDS
-LONGS = -(-MINIMA // 64)
+BAND_ROWS, BANDS = 4, 40
+MINIMA, BITS = 1024, 2  # of a signature
+LONGS = MINIMA // 64
 PERCENT = 75
-PIVOTS = 4
+PIVOTS = 256
 LOCATED_ROWS = 200_000
 
 
-def minima(values: np.ndarray) -> np.ndarray:
-    """The least value of a set of fingerprints under each of the hash functions."""
-    seeds = (W.numbers(3, MINIMA) >> W.U64(32)).astype(np.uint32)[:, None]
-    factors = (W.numbers(4, MINIMA) >> W.U64(32)).astype(np.uint32)[:, None] | np.uint32(1)
+def minima(values: np.ndarray, count: int, seed: int) -> np.ndarray:
+    """The least value of a set of fingerprints under each of `count` hash functions."""
+    seeds = (W.numbers(seed, count) >> W.U64(32)).astype(np.uint32)[:, None]
+    factors = (W.numbers(seed + 1, count) >> W.U64(32)).astype(np.uint32)[:, None] | np.uint32(1)
     h = (values >> W.U64(32)).astype(np.uint32)
-    best = np.full(MINIMA, 0xFFFFFFFF, np.uint32)
-    for at in range(0, len(h), 2048):
-        np.minimum(best, ((h[None, at:at + 2048] ^ seeds) * factors).min(axis=1), out=best)
+    best = np.full(count, 0xFFFFFFFF, np.uint32)
+    step = 1 + (1 << 18) // count
+    for at in range(0, len(h), step):
+        np.minimum(best, ((h[None, at:at + step] ^ seeds) * factors).min(axis=1), out=best)
     return best
 
 
-def band_keys(least: np.ndarray) -> np.ndarray:
-    rows = least.astype(W.U64).reshape(BANDS, BAND_ROWS) * (W.numbers(5, BAND_ROWS) | W.U64(1))
+def band_keys(values: np.ndarray) -> np.ndarray:
+    least = minima(values, BANDS * BAND_ROWS, 10).astype(W.U64).reshape(BANDS, BAND_ROWS)
+    rows = least * (W.numbers(5, BAND_ROWS) | W.U64(1))
     return W.mix(rows.sum(axis=1, dtype=W.U64) + W.numbers(6, BANDS)).view(np.int64)
 
 
-def packed(least: np.ndarray) -> np.ndarray:
+def packed(values: np.ndarray) -> np.ndarray:
     """The low bits of the mixed minima, one bit plane after another."""
-    low = W.mix(least.astype(W.U64)).astype(np.uint8)
-    planes = np.zeros((BITS, LONGS * 64), np.uint8)
-    planes[:, :MINIMA] = (low[None, :] >> np.arange(BITS, dtype=np.uint8)[:, None]) & 1
+    low = W.mix(minima(values, MINIMA, 20).astype(W.U64)).astype(np.uint8)
+    planes = (low[None, :] >> np.arange(BITS, dtype=np.uint8)[:, None]) & 1
     return np.packbits(planes, axis=1, bitorder="little").reshape(-1).view(np.int64)
 
 
 def estimate(a: str, b: str) -> F.Column:
     """Similarity by two packed signatures, corrected for low bits that agree by chance."""
-    differ = [F.bit_count(F.expr(" | ".join(f"({a}[{p * LONGS + k}] ^ {b}[{p * LONGS + k}])" for p in range(BITS))))
-              for k in range(LONGS)]
+    differ = " + ".join("bit_count(" + " | ".join(f"({a}[{p * LONGS + k}] ^ {b}[{p * LONGS + k}])" for p in range(BITS))
+                        + ")" for k in range(LONGS))
     chance = 2.0 ** -BITS
-    return ((1 - sum(differ[1:], differ[0]) / float(MINIMA)) - chance) / (1 - chance)
+    return ((1 - F.expr(differ) / float(MINIMA)) - chance) / (1 - chance)
 
 
 def _lists(rows: list[np.ndarray]) -> pa.Array:
@@ -85,19 +86,17 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in W.blocks(batch["text"]):
             found = W.words(block)
             values, cuts = W.shingles(found.hashes, found.bounds, WIDTH)
-            keys, sizes, low, bands = [], [], [], []
+            keys, sizes, bands = [], [], []
             for r in range(block.rows):
                 own = np.unique(values[cuts[r]:cuts[r + 1]])
                 sizes.append(len(own))
                 sequence = found.hashes[found.bounds[r]:found.bounds[r + 1]]
                 keys.append(hashlib.blake2b(sequence.tobytes(), digest_size=16).digest() if len(own) else None)
-                least = minima(own) if len(own) else None
-                low.append(packed(least) if len(own) else np.zeros(0, np.int64))
-                bands.append(band_keys(least) if len(own) else np.zeros(0, np.int64))
+                bands.append(band_keys(own) if len(own) else np.zeros(0, np.int64))
             part = batch.slice(block.first, block.rows)
             yield pa.RecordBatch.from_arrays(
                 [part["id"], part["file"], part["row"], pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()),
-                 _lists(low), _lists(bands)], ["id", "file", "row", "key", "n", "low", "bands"])
+                 _lists(bands)], ["id", "file", "row", "key", "n", "bands"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,72 +104,89 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in W.blocks(batch["text"]):
             found = W.words(block)
             values, cuts = W.shingles(found.hashes, found.bounds, WIDTH)
-            sets = [np.unique(values[cuts[r]:cuts[r + 1]]).view(np.int64) for r in range(block.rows)]
-            yield pa.RecordBatch.from_arrays([batch.slice(block.first, block.rows)["node"], _lists(sets)],
-                                             ["node", "members"])
+            sets = [np.unique(values[cuts[r]:cuts[r + 1]]) for r in range(block.rows)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.slice(block.first, block.rows)["node"], _lists(sets), _lists([packed(s) for s in sets])],
+                ["node", "members", "low"])
 
 
 def _open(rows: DataFrame) -> DataFrame:
-    """The rows of buckets that hold more than one component."""
-    live = rows.groupBy("bucket").agg(F.min("component").alias("_l"), F.max("component").alias("_h")) \
-        .filter("_l <> _h").select("bucket")
-    return rows.join(live, "bucket", "left_semi")
+    """The rows of buckets that hold more than one component, with the component of the best connected class."""
+    live = rows.groupBy("bucket").agg(F.min("component").alias("_l"), F.max("component").alias("_h"),
+                                      F.max_by("component", "degree").alias("main")).filter("_l <> _h")
+    return rows.drop("main").join(live.select("bucket", "main"), "bucket")
 
 
-def _best(rows: DataFrame, facts: DataFrame, number: int, pivots: int) -> DataFrame:
-    """The round's pivots: of each bucket's components, dealt to a few slots, the best connected class."""
-    slot = F.pmod(F.xxhash64("component", F.lit(number)), F.lit(pivots))
-    best = rows.groupBy("bucket", slot.alias("slot")).agg(F.max(F.struct("degree", "node", "component")).alias("p"))
-    return (best.select("bucket", F.col("p.node").alias("node"), F.col("p.component").alias("p_component"))
-            .join(facts.select("node", F.col("n").alias("p_n"), F.col("shared").alias("p_shared"),
-                               F.col("low").alias("p_low")), "node").withColumnRenamed("node", "pivot"))
+def _pivots(rows: DataFrame, number: int, pivots: int) -> DataFrame:
+    """`bucket`, `pivot`: the best connected class of each bucket in round 0; later classes outside the
+    component of that class, the first and last of every slot to which they are dealt. Two components cannot
+    be linked but through such a class."""
+    if number == 0:
+        best = rows.groupBy("bucket").agg(F.max(F.struct("degree", "node")).alias("p"))
+        return best.select("bucket", F.col("p.node").alias("pivot"))
+    slot = F.pmod(F.xxhash64("node", F.lit(number)), F.lit(pivots))
+    ends = rows.filter("component <> main").groupBy("bucket", slot.alias("slot")).agg(F.min("node").alias("l"), F.max("node").alias("h"))
+    return ends.select("bucket", F.explode(F.array_distinct(F.array("l", "h"))).alias("pivot"))
 
 
 def links(rows: DataFrame, docs: DataFrame, percent: int = PERCENT, pivots: int = PIVOTS) -> DataFrame:
     """Links `a`, `b` of classes, enough to connect all that are similar; every one is confirmed. `rows` has
-    the classes: `node`, `n`, `low`, `bands`, and `file` and `row` of one document; `docs` the texts."""
-    spark = rows.sparkSession
+    the classes: `node`, `n`, `bands`, and `file` and `row` of one document; `docs` the texts."""
     t = percent / 100
-    slack = 5 * (t * (1 - t) / MINIMA) ** 0.5 / (1 - 2.0 ** -BITS)
-    buckets = rows.select("node", F.explode("bands").alias("bucket"))
+    equal = t + (1 - t) * 2.0 ** -BITS
+    lowest = t - 5 * (equal * (1 - equal) / MINIMA) ** 0.5 / (1 - 2.0 ** -BITS)
+    buckets = rows.select("node", F.posexplode("bands").alias("band", "bucket"))
     shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = stored(buckets.join(shared, "bucket"))
-    degrees = members.groupBy("node").agg(F.sum("size").alias("degree"))
-    near = stored(rows.join(degrees, "node").select("node", "n", "low", "file", "row", "degree"))
-
-    places = broadcast_rows(near.select("file", "row", "node"), LOCATED_ROWS)
+    degrees = stored(members.groupBy("node").agg(F.sum("size").alias("degree"))
+                     .join(rows.select("node", "n", "file", "row", "bands"), "node"))
+    places = broadcast_rows(degrees.select("file", "row", "node"), LOCATED_ROWS)
     sets = stored(docs.join(places, ["file", "row"]).select("node", "text")
-                  .mapInArrow(_sets, "node long, members array<long>"))
-    alone = (sets.select("node", F.explode("members").alias("s")).groupBy("s")
-             .agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("node")).filter("c = 1")
-             .groupBy("node").agg(F.count(F.lit(1)).alias("alone")))
-    facts = stored(near.join(alone, "node", "left")
-                   .withColumn("shared", F.col("n") - F.coalesce("alone", F.lit(0)))
-                   .filter(F.col("shared") * 100 >= F.col("n") * percent)
-                   .select("node", "n", "shared", "low", "degree"))
-    rows = stored(_open(members.join(facts, "node").select(
-        "bucket", "node", F.col("node").alias("component"), "degree", "n", "shared", "low")))
-    found = spark.createDataFrame([], "a long, b long")
-    number = 0
-    while rows.take(1):
-        best = stored(_best(rows, facts, number, pivots))
-        most = F.least("shared", "p_shared")
-        possible = most * 100 >= (F.col("n") + F.col("p_n") - most) * percent
-        met = (F.col("component") != F.col("p_component")) & possible & (estimate("low", "p_low") >= t - slack)
-        pairs = stored(rows.join(best, (rows["bucket"] == best["bucket"]) & met)
-                       .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct())
-        if pairs.take(1):
+                  .mapInArrow(_sets, "node long, members array<long>, low array<long>"))
+    facts = sets.select("node", "low").join(degrees.select(
+        "node", "n", F.transform("bands", lambda b: F.shiftright(b, 32).cast("int")).alias("lanes")), "node")
+    rows = members.join(degrees.select("node", "degree"), "node").select(
+        "bucket", "band", "node", F.col("node").alias("component"), "degree")
+    found, number = [], 0
+    while number == 0 or rows.take(1):
+        if number == 1:  # from here on pairs are told apart within the join
+            rows = stored(rows.join(facts.select("node", "n", "low", "lanes"), "node"))
+        best = stored(_pivots(rows, number, pivots))
+        if number == 0:
+            met = rows.join(best, "bucket").filter("node <> pivot").select(
+                F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+            own = lambda c: facts.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"),
+                                         F.col("low").alias(f"low{c}"))
+            met = met.join(own("a"), "a").join(own("b"), "b")
+            met = met.filter((F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
+                             & (estimate("lowa", "lowb") >= lowest)).select(
+                "a", "b", F.col("a").alias("ca"), F.col("b").alias("cb"))
+        else:
+            heads = best.withColumnRenamed("bucket", "p_bucket").join(
+                rows.select(F.col("bucket").alias("p_bucket"), F.col("node").alias("pivot"),
+                            *[F.col(c).alias(f"p_{c}") for c in ("component", "n", "low", "lanes")]), ["p_bucket", "pivot"])
+            sizes = F.least("n", "p_n") * 100 >= F.greatest("n", "p_n") * percent
+            first = F.array_position(F.zip_with("lanes", "p_lanes", lambda x, y: x == y), True) == F.col("band") + 1
+            alike = (F.col("component") != F.col("p_component")) & sizes & (estimate("low", "p_low") >= lowest) & first
+            met = rows.join(heads, (F.col("bucket") == F.col("p_bucket")) & alike).select(
+                F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"),
+                F.when(F.col("node") < F.col("pivot"), F.col("component")).otherwise(F.col("p_component")).alias("ca"),
+                F.when(F.col("node") < F.col("pivot"), F.col("p_component")).otherwise(F.col("component")).alias("cb")
+            ).distinct()
+        met = stored(met)
+        if met.take(1):
             own = lambda c: sets.select(F.col("node").alias(c), F.col("members").alias(f"s{c}"))
-            both = pairs.join(own("a"), "a").join(own("b"), "b")
+            both = met.join(own("a"), "a").join(own("b"), "b")
             common = F.size(F.array_intersect("sa", "sb"))
             confirmed = common * 100 >= (F.size("sa") + F.size("sb") - common) * percent
-            found = stored(found.unionByName(both.filter(confirmed).select("a", "b")))
-            labels = connected(found).withColumnRenamed("component", "joined")
-            rows = rows.join(labels, "node", "left").withColumn("component", F.coalesce("joined", "component")) \
-                .drop("joined")
+            found.append(stored(both.filter(confirmed).select("a", "b", "ca", "cb")))
+            joined = connected(found[-1].select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+            rows = rows.join(joined.select(F.col("node").alias("component"), F.col("component").alias("_to")),
+                             "component", "left").withColumn("component", F.coalesce("_to", "component")).drop("_to")
         rest = rows.join(best.select("bucket", F.col("pivot").alias("node")), ["bucket", "node"], "left_anti")
         rows, number = stored(_open(rest)), number + 1
-    return found
+    empty = docs.sparkSession.createDataFrame([], "a long, b long")
+    return reduce(DataFrame.unionByName, [f.select("a", "b") for f in found], empty)
 
 
 def find_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT,
@@ -180,13 +196,13 @@ def find_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p
         F.col(id_col).cast("long").alias("id"), F.col(FILE).alias("file"), F.col(ROW).alias("row"),
         F.col(text_col).alias("text"))
     rows = stored(texts.mapInArrow(_signed, "id long, file string, row long, key binary, n long, "
-                                            "low array<long>, bands array<long>"))
+                                            "bands array<long>"))
     place = F.struct(F.col("id").isNull().alias("absent"), "id", "file", "row")
     classes = (rows.filter("n > 0").groupBy("key").agg(F.min(place).alias("first"), F.first("n").alias("n"),
-                                                       F.first("low").alias("low"), F.first("bands").alias("bands"))
+                                                       F.first("bands").alias("bands"))
                .withColumn("node", F.monotonically_increasing_id()))
     classes = stored(classes)
-    found = links(classes.select("node", "n", "low", "bands", "first.file", "first.row"),
+    found = links(classes.select("node", "n", "bands", "first.file", "first.row"),
                   texts.select("file", "row", "text"), percent, pivots)
     labels = connected(found)
     heads = classes.select("key", "node", "first").join(labels, "node", "left") \
