@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from kelvibra.llm import decontamination, exact, minhash, pieces, quality
 from kelvibra.llm import settings as S
-from kelvibra.llm.stores import remainder, stored
+from kelvibra.llm.stores import read_table, remainder, stored
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted on labelled documents of this input, does not reject."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(remainder("doc_id", 3) != 1)
+    labels = read_table(spark, sf_dir, "labels").filter(remainder("doc_id", 3) != 1)
     return docs.filter(quality.score(quality.fit(docs, labels), "text") >= 0.5)
 
 
@@ -28,7 +28,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    return decontamination.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return decontamination.clean(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +50,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents; each but the last is written before the next one reads it."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = read_table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -26,7 +26,7 @@ from kelvibra.llm.words import worker_cache
 
 BLANK = "▁"
 CHUNK = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
-REMEMBERED = 200_000
+REMEMBERED = 120_000
 LOWEST = float("-inf")
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # kinds of pieces in a model file
 
@@ -289,29 +289,28 @@ class Model:
 
 
 class Coder:
-    """A model with the chunks it has seen lately: their ids as text, the number of ids, the text they decode
-    to after other pieces, and the source bytes of each piece. Two generations of chunks are held, the older
-    one being dropped."""
+    """A model with the chunks it has seen lately: their ids as text, the source bytes of each piece, and what
+    they decode to if that is not the chunk itself. Two generations of chunks are held, the older one being
+    dropped."""
 
-    def __init__(self, path: str):
-        self.model, self.seen, self.older = Model(path), {}, {}
-        n = self.model.normalise
-        self.quick = self.model.by_word and n.plain and n.escape and n.dummy and BLANK in self.model.ids
+    def __init__(self, model: Model):
+        self.model, self.seen, self.older = model, {}, {}
+        n = model.normalise
+        self.quick = model.by_word and n.plain and n.escape and n.dummy and BLANK in model.ids
 
-    def chunk(self, text: str) -> tuple[str, int, str, bytes]:
+    def chunk(self, text: str) -> tuple[str, bytes, str | None]:
         found = self.older.get(text)
         if found is None:
-            pieces, m = self.model.merge(text), self.model
+            pieces, m, odd = self.model.merge(text), self.model, None
             numbers = [m.ids.get(p) for p in pieces]
             if None in numbers:  # with bytes, decoded behind some other piece
                 coded = m.piece_ids([p.replace(BLANK, " ") if p not in m.ids else p for p in pieces])
                 numbers = [i for i, _ in coded]
                 sizes = [len(m.texts[i].replace(BLANK, " ").encode()) if m.kinds[i] != BYTE else 1 for i in numbers]
-                plain = m.decode([m.ids[BLANK], *numbers])
+                odd = m.decode([m.ids[BLANK], *numbers])
             else:
-                sizes = [len(p.replace(BLANK, " ").encode()) for p in pieces]
-                plain = text.replace(BLANK, " ")
-            found = ",".join(map(str, numbers)), len(numbers), plain, bytes(sizes)
+                sizes = [len(p) if p.isascii() else len(p.replace(BLANK, " ").encode()) for p in pieces]
+            found = ",".join(map(str, numbers)), bytes(sizes), odd
         if len(text) < 64:
             if len(self.seen) >= REMEMBERED:
                 self.seen, self.older = {}, self.seen
@@ -325,12 +324,14 @@ class Coder:
         if not text or not self.quick or BLANK in text:
             ids, spans = m.encode(text)
             return ",".join(map(str, ids)), len(ids), m.decode(ids), np.array([e for _, e in spans], np.int64)
-        found = [self.seen.get(c) or self.chunk(c) for c in m.chunks(BLANK + text.replace(" ", BLANK))]
+        chunks = m.chunks(BLANK + text.replace(" ", BLANK))
+        found = [self.seen.get(c) or self.chunk(c) for c in chunks]
         # a chunk's bytes are whole characters; only the first piece loses its blank, which no source byte made
+        sizes = b"".join([f[1] for f in found])
         first = m.decode([int(i) for i in found[0][0].split(",")])
-        ends = np.cumsum(np.frombuffer(b"".join([f[3] for f in found]), np.uint8), dtype=np.int64) - 1
-        return (",".join([f[0] for f in found]), sum([f[1] for f in found]),
-                first + "".join([f[2] for f in found[1:]]), ends)
+        back = first + "".join([c if f[2] is None else f[2] for c, f in zip(chunks[1:], found[1:])]).replace(BLANK, " ")
+        ends = np.cumsum(np.frombuffer(sizes, np.uint8), dtype=np.int64) - 1
+        return ",".join([f[0] for f in found]), len(sizes), back, ends
 
 
 def digests(path: str, text: str = "text") -> F.Column:
@@ -341,7 +342,7 @@ def digests(path: str, text: str = "text") -> F.Column:
 
     @F.arrow_udf("n_tokens long, ids_sha256 string, decoded_sha256 string, spans_sha256 string")
     def apply(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        coder = worker_cache(("coder", path), lambda: Coder(path))
+        coder = Coder(worker_cache(("model", path), lambda: Model(path)))
 
         def digest(value: str) -> tuple[int, str, str, str]:
             ids, count, back, ends = coder(value)
@@ -359,7 +360,7 @@ def encoded(path: str, text: str = "text") -> F.Column:
 
     @F.arrow_udf("ids array<long>, starts array<long>, ends array<long>")
     def apply(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        coder = worker_cache(("coder", path), lambda: Coder(path))
+        coder = Coder(worker_cache(("model", path), lambda: Model(path)))
         for column in columns:
             found = [coder(t.as_py() or "") for t in column]
             ids = [[int(i) for i in f[0].split(",")] if f[0] else [] for f in found]

@@ -10,13 +10,10 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from kelvibra.llm import decontamination, exact, language, licenses, minhash, pieces, quality, scoring, sharding, urls
 from kelvibra.llm import settings as S
+from kelvibra.llm.stores import read_table as table
 from kelvibra.llm.stores import remainder, stored
 
 
-def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
-
-
 def op1(spark: SparkSession, sf: str) -> DataFrame:
     docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
     network = quality.fit(docs, labels.filter(remainder("doc_id", 3) != 1))

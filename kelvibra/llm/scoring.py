@@ -116,7 +116,7 @@ class Filter:
 
 def build_filter(counts: DataFrame, segments: int) -> Filter:
     """`counts` has `gram` and `n`, which may come in parts. Each segment's n-grams meet in one partition and
-    set its bits; the segments are the only thing collected."""
+    set its bits; the segments, of the filter's bounded size, are the only thing that reaches the driver."""
     shift = 64 - (segments.bit_length() - 1)
     segment = F.shiftrightunsigned("gram", shift) if shift < 64 else F.lit(0).cast("long")
     whole = (counts.withColumn("segment", segment).repartition("segment")
@@ -141,7 +141,7 @@ def build_filter(counts: DataFrame, segments: int) -> Filter:
         yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()),
                                           pa.array([b.tobytes() for b in bits], pa.binary())], ["segment", "bits"])
     out = Filter(segments)
-    for row in whole.mapInArrow(fill, "segment long, bits binary").toLocalIterator():
+    for row in stored(whole.mapInArrow(fill, "segment long, bits binary")).toLocalIterator():
         size = SEGMENT_BITS // 8
         out.data[row["segment"] * size:(row["segment"] + 1) * size] |= np.frombuffer(row["bits"], np.uint8)
     return out

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import os
 
+# rows of whole texts that go to a Python worker at once
+BATCH_ROWS = 1_000
+
 # where the vocabulary files of public tokenizers lie
 TOKENIZERS = os.environ.get("KELVIBRA_TOKENIZERS", "/opt/tokenizers")
 PIECE_MODEL = f"{TOKENIZERS}/piece_bpe_32k.model"

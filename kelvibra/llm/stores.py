@@ -9,6 +9,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kelvibra.llm.settings import BATCH_ROWS
+
 
 def shared_folder(spark: SparkSession) -> str:
     """A new folder's path below spark.checkpoint.dir. Where that is unset, a local session takes a
@@ -24,6 +26,12 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{context.getCheckpointDir()}/{uuid.uuid4().hex}"
 
 
+def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table of the input. Rows of texts are large, so that batches for Python workers are kept small."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
 def stored(df: DataFrame) -> DataFrame:
     """The rows, written once as Parquet and read back: no lineage is left, columns can be pruned, and
     lost executors take nothing with them."""

@@ -1,7 +1,7 @@
 """Words and shingles of whole columns of texts, as arrays of 64-bit fingerprints.
 
 A word is a run of bytes other than the six ASCII white-space characters; A-Z count as a-z. A column is
-worked through in blocks of about a megabyte, whatever the lengths of its texts, without a step per word.
+worked through in blocks of a quarter of a megabyte, whatever the lengths of its texts, without a step per word.
 Two different words share a fingerprint with a probability of about 2**-64.
 """
 
@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 SPACES = b" \t\n\x0b\f\r"
 BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
 INVERSE = pow(BASE, -1, 1 << 64)
