@@ -289,49 +289,57 @@ class Model:
 
 
 class Coder:
-    """A model with the chunks it has seen lately: their ids as text, the source bytes of each piece, and what
-    they decode to if that is not the chunk itself. Two generations of chunks are held, the older one being
-    dropped."""
+    """A model with the words it has seen lately: their ids as text and the source bytes of each piece, as if a
+    blank came before them. Two generations of words are held, the older one being dropped. `odd` has what a
+    word decodes to if that is not the word itself."""
 
     def __init__(self, model: Model):
         self.model, self.seen, self.older = model, {}, {}
+        self.odd: dict[str, str] = {}
         n = model.normalise
         self.quick = model.by_word and n.plain and n.escape and n.dummy and BLANK in model.ids
 
-    def chunk(self, text: str) -> tuple[str, bytes, str | None]:
-        found = self.older.get(text)
+    def word(self, word: str) -> tuple[str, bytes]:
+        found = self.older.get(word)
         if found is None:
-            pieces, m, odd = self.model.merge(text), self.model, None
+            m, chunk = self.model, BLANK + word
+            pieces = m.merge(chunk)
             numbers = [m.ids.get(p) for p in pieces]
             if None in numbers:  # with bytes, decoded behind some other piece
-                coded = m.piece_ids([p.replace(BLANK, " ") if p not in m.ids else p for p in pieces])
-                numbers = [i for i, _ in coded]
+                numbers = [i for i, _ in m.piece_ids([p.replace(BLANK, " ") if p not in m.ids else p for p in pieces])]
                 sizes = [len(m.texts[i].replace(BLANK, " ").encode()) if m.kinds[i] != BYTE else 1 for i in numbers]
-                odd = m.decode([m.ids[BLANK], *numbers])
+                back = m.decode([m.ids[BLANK], *numbers])[1:]
+                if back != word:
+                    self.odd[word] = back
             else:
-                sizes = [len(p) if p.isascii() else len(p.replace(BLANK, " ").encode()) for p in pieces]
-            found = ",".join(map(str, numbers)), bytes(sizes), odd
-        if len(text) < 64:
+                sizes = map(len, pieces) if word.isascii() else [len(p.replace(BLANK, " ").encode()) for p in pieces]
+            found = ",".join(map(str, numbers)), bytes(sizes)
+        if len(word) < 64:
             if len(self.seen) >= REMEMBERED:
                 self.seen, self.older = {}, self.seen
-            self.seen[text] = found
+            self.seen[word] = found
         return found
 
     def __call__(self, text: str) -> tuple[str, int, str, np.ndarray]:
         """Ids joined by commas, their number, the text they decode to, and the source byte at which each
         piece ends; a piece begins where the one before it ends."""
-        m = self.model
+        m, seen = self.model, self.seen
         if not text or not self.quick or BLANK in text:
             ids, spans = m.encode(text)
             return ",".join(map(str, ids)), len(ids), m.decode(ids), np.array([e for _, e in spans], np.int64)
-        chunks = m.chunks(BLANK + text.replace(" ", BLANK))
-        found = [self.seen.get(c) or self.chunk(c) for c in chunks]
-        # a chunk's bytes are whole characters; only the first piece loses its blank, which no source byte made
-        sizes = b"".join([f[1] for f in found])
-        first = m.decode([int(i) for i in found[0][0].split(",")])
-        back = first + "".join([c if f[2] is None else f[2] for c, f in zip(chunks[1:], found[1:])]).replace(BLANK, " ")
+        if "  " in text or text[0] == " ":  # chunks with several blanks
+            words = [c[1:] for c in m.chunks(BLANK + text.replace(" ", BLANK))]
+        else:
+            words = text.split(" ")
+        found = [seen.get(w) or self.word(w) for w in words]
+        ids, sizes = ",".join([f[0] for f in found]), b"".join([f[1] for f in found])
+        if self.odd and not self.odd.keys().isdisjoint(words):
+            back = " ".join([self.odd.get(w, w) for w in words]).replace(BLANK, " ")
+        else:
+            back = " ".join(words).replace(BLANK, " ")
+        # the first piece loses its blank, which no source byte made
         ends = np.cumsum(np.frombuffer(sizes, np.uint8), dtype=np.int64) - 1
-        return ",".join([f[0] for f in found]), len(sizes), back, ends
+        return ids, len(sizes), back, ends
 
 
 def digests(path: str, text: str = "text") -> F.Column:
