@@ -127,9 +127,9 @@ def _gradients(net: Network, block: W.Block, labels: np.ndarray) -> dict[str, np
 
 
 def train(texts: list[bytes], labels: list[int], shares: tuple[int, int], epochs: int = 8, rows: int = 32,
-          rate: float = 0.004, seed: int = SEED) -> Network:
-    """Adam on the cross-entropy of shuffled batches; the same rows give the same network. `shares` counts
-    all labelled rows of class 0 and 1."""
+          least_steps: int = 600, rate: float = 0.004, seed: int = SEED) -> Network:
+    """Adam on the cross-entropy of shuffled batches, for `epochs` or at least `least_steps` batches; the same
+    rows give the same network. `shares` counts all labelled rows of class 0 and 1."""
     net, y = Network(seed), np.asarray(labels, np.float32)
     ones = int(y.sum())
     if min(ones, len(y) - ones) == 0:
@@ -138,7 +138,9 @@ def train(texts: list[bytes], labels: list[int], shares: tuple[int, int], epochs
     r = np.random.default_rng(seed + 1)
     first = {k: np.zeros_like(v) for k, v in net.w.items()}
     second = {k: np.zeros_like(v) for k, v in net.w.items()}
-    step, steps = 0, epochs * -(-len(y) // rows)
+    per_epoch = -(-len(y) // rows)
+    epochs = max(epochs, -(-least_steps // per_epoch))
+    step, steps = 0, epochs * per_epoch
     for _ in range(epochs):
         order = r.permutation(len(y))
         for at in range(0, len(order), rows):
@@ -182,7 +184,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, sample_b
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(net.__dict__)], pa.binary())], ["network"])
 
     fitted = texts.repartition(1).sortWithinPartitions("_rank", "_label", "_text").mapInArrow(learn, "network binary")
-    return fitted.first()["network"]
+    found = fitted.first()  # none if there is no labelled row
+    return found["network"] if found else pickle.dumps(train([], [], counts).__dict__)
 
 
 def load(saved: bytes) -> Network:
