@@ -6,7 +6,7 @@ merged into pieces by the model's scores, and every piece is projected back to t
 it covers. Decoding turns ids into text again.
 
 As no piece of the model has a blank after another character, chunks of one word with the blanks before it
-are encoded on their own, and a task remembers the chunks it has seen. Where a model does have such a piece
+are encoded on their own, and a worker remembers the words it has seen lately. Where a model does have such a piece
 the whole text is one chunk. Defined results: a null counts as an empty text, an empty text has no pieces.
 """
 
@@ -26,7 +26,7 @@ from kelvibra.llm.words import worker_cache
 
 BLANK = "▁"
 CHUNK = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
-REMEMBERED = 120_000
+REMEMBERED = 110_000
 LOWEST = float("-inf")
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # kinds of pieces in a model file
 
@@ -350,7 +350,7 @@ def digests(path: str, text: str = "text") -> F.Column:
 
     @F.arrow_udf("n_tokens long, ids_sha256 string, decoded_sha256 string, spans_sha256 string")
     def apply(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        coder = Coder(worker_cache(("model", path), lambda: Model(path)))
+        coder = worker_cache(("coder", path), lambda: Coder(Model(path)))
 
         def digest(value: str) -> tuple[int, str, str, str]:
             ids, count, back, ends = coder(value)
@@ -368,7 +368,7 @@ def encoded(path: str, text: str = "text") -> F.Column:
 
     @F.arrow_udf("ids array<long>, starts array<long>, ends array<long>")
     def apply(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        coder = Coder(worker_cache(("model", path), lambda: Model(path)))
+        coder = worker_cache(("coder", path), lambda: Coder(Model(path)))
         for column in columns:
             found = [coder(t.as_py() or "") for t in column]
             ids = [[int(i) for i in f[0].split(",")] if f[0] else [] for f in found]
