@@ -22,6 +22,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kelvibra.llm.stores import stored
+
 WIDTH = 5
 BANDS = 32
 CONTAINED = 0.75
@@ -68,7 +70,7 @@ def scan(docs: DataFrame, templates: Mapping[str, str], id_col: str = "doc_id",
                                          .otherwise(F.array("_part"))))
         .select("row", "id", "_class", "_window", "_shingle"))
     keys = ["row", "id", "_class", "_window"]
-    windows = windows.distinct()
+    windows = stored(windows.distinct())
     signed = _minima(held, ["license", "_class", "_of"], bands)
     candidates = (_minima(windows, keys, bands).join(F.broadcast(signed), ["_class", "_band", "_least"])
                   .select(*keys, "license", "_of").distinct())
