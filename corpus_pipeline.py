@@ -32,8 +32,9 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document with its ids and the source bytes its pieces cover, digested."""
-    return docs.select("doc_id", pieces.digests(S.PIECE_MODEL).alias("_d")).select("doc_id", "_d.*")
+    """Each document with its ids and the source bytes its pieces cover, digested. The workers, which serve the
+    other stages too, forget words after each task."""
+    return docs.select("doc_id", pieces.digests(S.PIECE_MODEL, keep=False).alias("_d")).select("doc_id", "_d.*")
 
 
 STAGES = [
