@@ -75,18 +75,19 @@ def unified_anomalies(*branches: DataFrame) -> DataFrame:
 
 
 def ensemble_vote(df: DataFrame, flags: list[str], name: str = "ensemble") -> DataFrame:
-    """J15. 1 where more than half of the detectors flag the row; a tie is 0."""
-    votes = sum((F.col(c).cast("double") for c in flags), F.lit(0.0))
+    """J15. 1 where more than half of the detectors flag the row; a tie is 0, a null flag is none."""
+    votes = sum((F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in flags), F.lit(0.0))
     return df.withColumn(name, (votes / F.lit(float(len(flags))) > 0.5).cast("int"))
 
 
 def join_votes(key: str, **flags: DataFrame) -> DataFrame:
-    """J15. Aligns detectors that were scored apart: one row per key, one flag column per detector."""
-    named = [f.select(key, F.col("flag").alias(n)) for n, f in flags.items()]
-    return reduce(lambda a, b: a.join(b, key), named)
+    """J15. Aligns detectors that were scored apart: one row per key, one flag column per detector. A row
+    that a detector does not have is not flagged by it."""
+    named = [f.select(key, F.col("flag").cast("int").alias(n)) for n, f in flags.items()]
+    return reduce(lambda a, b: a.join(b, key, "full"), named).fillna(0, list(flags))
 
 
 def ensemble_score(df: DataFrame, decisions: list[str], name: str = "ensemble_score") -> DataFrame:
-    """J16. Mean of the negated decision values; higher is more anomalous."""
-    total = sum((-F.col(c) for c in decisions), F.lit(0.0))
+    """J16. Mean of the negated decision values, nulls counting as 0; higher is more anomalous."""
+    total = sum((-F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in decisions), F.lit(0.0))
     return df.withColumn(name, total / F.lit(float(len(decisions))))

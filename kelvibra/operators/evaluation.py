@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -93,7 +94,14 @@ def auc_roc(df: DataFrame, by: Sequence[str] = (), y: str = "y_true", score: str
     if not by:
         return area
     # models whose scores are all missing keep a row, with a null area
-    return df.select(*by).distinct().join(area, by, "left")
+    return _joined(df.select(*by).distinct(), area, by)
+
+
+def _joined(groups: DataFrame, area: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Adds the area to every group; a null key is a key like others."""
+    area = area.withColumnsRenamed({c: f"_{c}" for c in by})
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by])
+    return groups.join(area, same, "left").drop(*[f"_{c}" for c in by])
 
 
 def evaluate(df: DataFrame, by: Sequence[str] = (), score: str | None = "score") -> DataFrame:
@@ -102,7 +110,7 @@ def evaluate(df: DataFrame, by: Sequence[str] = (), score: str | None = "score")
     if score is None:
         return metrics.withColumn("auc_roc", F.lit(None).cast("double"))
     area = auc_roc(df, by, score=score)
-    return metrics.join(area, list(by)) if by else metrics.withColumn("auc_roc", area.scalar())
+    return _joined(metrics, area, by) if by else metrics.withColumn("auc_roc", area.scalar())
 
 
 def evaluate_all(predictions: DataFrame, models: Sequence[str], y: str = "y_true") -> DataFrame:

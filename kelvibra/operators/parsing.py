@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,14 +19,17 @@ def _read_json(raw: DataFrame, schema: str) -> DataFrame:
     return raw.select("raw", F.inline_outer(F.array(message)))
 
 
-def _reject_reason(message: DataFrame, required: dict[str, Column], instant: Column) -> Column:
-    """First reason not to use a message, or null. A wrong type damages one field; broken JSON all."""
+def _reject_reason(message: DataFrame, required: dict[str, Column], instant: Column,
+                   lenient: bool = False) -> Column:
+    """First reason not to use a message, or null. A wrong type damages one field; broken JSON all. A lenient
+    reader rejects a wrong type only if it cost a required value."""
     fields = [c for c in message.columns if c not in ("raw", _BAD)]
     nothing = F.coalesce(*[F.col(c).cast("string") for c in fields]).isNull()
     blank = F.coalesce(F.trim("raw"), F.lit("")) == ""
     damaged = F.col(_BAD).isNotNull()
     reason = F.when(blank | (damaged & nothing), F.lit("malformed_json"))
-    reason = reason.when(damaged, F.lit("bad_type"))
+    lost = reduce(lambda a, b: a | b, [v.isNull() for v in required.values()]) if lenient else F.lit(True)
+    reason = reason.when(damaged & lost, F.lit("bad_type"))
     for name, value in required.items():
         reason = reason.when(value.isNull(), F.lit(f"missing_{name}"))
     return reason.when(instant.isNull(), F.lit("bad_timestamp"))
@@ -41,7 +46,7 @@ def parse_messages(raw: DataFrame) -> DataFrame:
         "temperature": F.col("sensor_data.temperature"),
         "vibration": F.col("sensor_data.vibration"),
     }
-    reason = _reject_reason(message, {name: fields[name] for name in REQUIRED_FIELDS}, instant)
+    reason = _reject_reason(message, {name: fields[name] for name in REQUIRED_FIELDS}, instant, lenient=True)
     return message.select(
         "raw",
         "device_id",

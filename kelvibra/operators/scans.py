@@ -15,19 +15,26 @@ def range_start(df: DataFrame, interval: str, as_of=None, timestamp: str = "time
     back = F.expr(f"INTERVAL {interval}")
     if as_of is None:
         return df.agg((F.max(timestamp) - back).alias("start")).scalar()
+    return moment_of(df, as_of, timestamp) - back
+
+
+def moment_of(df: DataFrame, as_of, timestamp: str) -> Column:
+    """A datetime as a constant of the timestamp's type; columns stay as they are."""
     kind = dict(df.dtypes)[timestamp]
-    moment = F.lit(as_of.isoformat(sep=" ")).cast(kind) if isinstance(as_of, dt.datetime) else as_of
-    return moment - back
+    return F.lit(as_of.isoformat(sep=" ")).cast(kind) if isinstance(as_of, dt.datetime) else as_of
 
 
 def scan_range(df: DataFrame, interval: str, as_of=None, timestamp: str = "timestamp",
                date_column: str = "event_date") -> DataFrame:
-    """A5. Rows of the last interval up to as_of's start bound. On a table partitioned by date the date
-    bound is added, as a bound on the timestamp alone prunes no partitions."""
+    """A5. Rows of the last interval before as_of, as_of included. On a table partitioned by date a date
+    bound is added, as a bound on the timestamp alone prunes no partitions; it leaves a day of slack, since
+    the table's days may be those of another time zone."""
     start = range_start(df, interval, as_of, timestamp)
     rows = df.filter(F.col(timestamp) >= start)
+    if as_of is not None:
+        rows = rows.filter(F.col(timestamp) <= moment_of(df, as_of, timestamp))
     if date_column in df.columns:
-        rows = rows.filter(F.col(date_column) >= start.cast("date"))
+        rows = rows.filter(F.col(date_column) >= F.date_sub(start.cast("date"), 1))
     return rows
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,11 +41,16 @@ def conform(df: DataFrame) -> DataFrame:
         for f in S.SENSOR_DATA])
 
 
+def query_name(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a stream's checkpoint keeps over restarts; another checkpoint has another one."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()["value"])["id"]
+
+
 def write_once(df: DataFrame, path: str, batch_id: int, clustered: bool = False,
-               fmt: str = "parquet") -> None:
-    """Writes a stream's batch under its number. A repeated batch replaces its own folder, so a replay
-    leaves one copy."""
-    place = f"{path}/batch_id={batch_id}"
+               fmt: str = "parquet", query: str = "") -> None:
+    """Writes a stream's batch under its query and number. A repeated batch replaces its own folder, so a
+    replay leaves one copy; batches of other queries, which count from 0 as well, stay."""
+    place = f"{path}/batch_id={query}-{batch_id}" if query else f"{path}/batch_id={batch_id}"
     if clustered:
         partition_and_cluster(df, place, mode="overwrite")
     else:

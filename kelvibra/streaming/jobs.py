@@ -1,4 +1,4 @@
-"""Streaming jobs. Each batch is written under its number, so a replayed batch replaces itself."""
+"""Streaming jobs. Each batch is written under its query and number, so a replayed batch replaces itself."""
 
 from __future__ import annotations
 
@@ -11,7 +11,7 @@ from kelvibra.operators.parsing import (parse_messages, parse_wide_messages, qua
                                         validate_required)
 from kelvibra.operators.rules import apply_rules, format_alert, format_reading, rule_score
 from kelvibra.sources.messages import alert_values
-from kelvibra.sources.tables import write_once
+from kelvibra.sources.tables import query_name, write_once
 
 
 def _start(stream: DataFrame, work, checkpoint: str, trigger: dict) -> StreamingQuery:
@@ -23,12 +23,13 @@ def run_detection(messages: DataFrame, table: str, alerts: str, rejects: str, ch
                   **trigger) -> StreamingQuery:
     """S1. Parse, rules, then readings, alerts and rejects from one parse of each batch."""
     def work(batch: DataFrame, batch_id: int) -> None:
+        query = query_name(batch.sparkSession, checkpoint)
         parsed = parse_messages(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             ruled = apply_rules(validate_required(parsed))
-            write_once(format_reading(ruled), table, batch_id, clustered=True)
-            write_once(alert_values(format_alert(ruled)), alerts, batch_id, fmt="text")
-            write_once(quarantine(parsed), rejects, batch_id)
+            write_once(format_reading(ruled), table, batch_id, clustered=True, query=query)
+            write_once(alert_values(format_alert(ruled)), alerts, batch_id, fmt="text", query=query)
+            write_once(quarantine(parsed), rejects, batch_id, query=query)
         finally:
             parsed.unpersist()
     return _start(messages, work, checkpoint, trigger)
@@ -36,7 +37,9 @@ def run_detection(messages: DataFrame, table: str, alerts: str, rejects: str, ch
 
 def streaming_row_sink(rows: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
     """A14. Appends a stream's rows to a table, once per batch."""
-    return _start(rows, lambda batch, batch_id: write_once(batch, path, batch_id), checkpoint, trigger)
+    def work(batch: DataFrame, batch_id: int) -> None:
+        write_once(batch, path, batch_id, query=query_name(batch.sparkSession, checkpoint))
+    return _start(rows, work, checkpoint, trigger)
 
 
 def consume_and_score(messages: DataFrame, table: str, checkpoint: str, **trigger) -> StreamingQuery:

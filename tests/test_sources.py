@@ -51,7 +51,30 @@ def test_range_scan_prunes_days_and_pushes_filters(spark, table):
     assert "GreaterThanOrEqual(timestamp" in plan
     schema = plan.split("ReadSchema: ")[1].split("\n")[0]
     assert schema == "struct<device_id:string,timestamp:timestamp,temperature:double>"
-    assert rows.count() == spark.read.parquet(table).filter("timestamp >= '2024-01-23 12:00:00'").count()
+    assert rows.count() == spark.read.parquet(table).filter(
+        "timestamp BETWEEN '2024-01-23 12:00:00' AND '2024-01-30 12:00:00'").count()
+
+
+def test_range_scan_ends_with_a_past_moment_and_survives_another_time_zone(spark, table):
+    as_of = dt.datetime(2024, 1, 10)
+    want = scan_range(spark.read.parquet(table), "7 DAYS", as_of).count()
+    assert want == spark.read.parquet(table).filter(
+        "timestamp BETWEEN '2024-01-03' AND '2024-01-10'").count() > 0
+    newest = scan_range(spark.read.parquet(table), "2 DAYS").count()
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        assert scan_range(spark.read.parquet(table), "2 DAYS").count() == newest
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_streams_with_other_checkpoints_keep_each_others_rows(spark, tmp_path):
+    from kelvibra.streaming.jobs import streaming_row_sink
+    spark.range(3).write.parquet(str(tmp_path / "in"))
+    for state in ("a", "b"):
+        rows = spark.readStream.schema("id long").parquet(str(tmp_path / "in"))
+        streaming_row_sink(rows, str(tmp_path / "out"), str(tmp_path / state)).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 6
 
 
 def test_a_large_day_is_split(spark, tmp_path):
