@@ -114,6 +114,18 @@ class Filter:
         return out
 
 
+def _gathered(batches: Iterator[pa.RecordBatch], rows: int = 1 << 17) -> Iterator[pa.Table]:
+    """Small batches of numbers as tables of `rows` rows or a little more."""
+    held, size = [], 0
+    for batch in batches:
+        held, size = [*held, batch], size + batch.num_rows
+        if size >= rows:
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def build_filter(counts: DataFrame, segments: int) -> Filter:
     """`counts` has `gram` and `n`, which may come in parts. Each segment's n-grams meet in one partition and
     set its bits; the segments, of the filter's bounded size, are the only thing that reaches the driver."""
@@ -125,7 +137,7 @@ def build_filter(counts: DataFrame, segments: int) -> Filter:
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, int] = {}
         bits = np.zeros((0, SEGMENT_BITS // 8), np.uint8)
-        for batch in batches:
+        for batch in _gathered(batches):
             names, at = np.unique(batch["segment"].to_numpy(), return_inverse=True)
             for name in names.tolist():
                 held.setdefault(name, len(held))
