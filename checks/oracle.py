@@ -316,6 +316,35 @@ REPORT_BEST = ", ".join(
 
 
 def build() -> dict[str, str]:
+    found = _plain()
+    # written and read back, or run as a stream: the rows are the same
+    same = {"A2_message_batch": "B1_parse_messages", "A3_append_readings": "B9_format_reading",
+            "A6_publish_alerts": "B10_format_alert", "A9_append_metrics": "D9_classification_metrics",
+            "A11_model_registry": "J1_fit_temperature", "J7_members": "D1_device_profile", "S1_run_detection": "B9_format_reading",
+            "S1_alerts": "B10_format_alert", "S2_consume_and_score": "B11_rule_score"}
+    return found | {name: found[other] for name, other in same.items()}
+
+
+def above_quantile(rows: str, share: float) -> str:
+    """How many of so many different values lie above their interpolated quantile."""
+    return f"{rows} - 1 - floor({share}::DOUBLE * ({rows} - 1))::BIGINT"
+
+
+def last_day_high(flagged: float | None, high: float) -> str:
+    """Rows of the last day beyond the quantiles that are values of rows."""
+    def beyond(share: float) -> str:
+        return f"count(*) - ceil({share}::DOUBLE * count(*))::BIGINT"
+    return select(WIDE, f"""
+SELECT {beyond(flagged) if flagged else 'count(*)'} AS readings, {beyond(high)} AS high
+FROM wide_base, clock WHERE "timestamp" >= as_of - INTERVAL 1 DAY""")
+
+
+USABLE = """temp_avg_5min IS NOT NULL AND temp_stddev_10min > 0 AND vibration_stddev_10min > 0"""
+FULL = "(SELECT coalesce(sum(greatest(c - 9, 0)), 0)::BIGINT AS m, sum(c)::BIGINT AS n FROM " \
+       "(SELECT count(*) AS c FROM readings GROUP BY device_id))"
+
+
+def _plain() -> dict[str, str]:
     s = 'reading_id, device_id, "timestamp"'
     lag = select(READINGS, f"""
 SELECT reading_id, {r('temperature - lag(temperature) OVER s', 'temp_change')},
@@ -323,6 +352,11 @@ SELECT reading_id, {r('temperature - lag(temperature) OVER s', 'temp_change')},
     return {
         "A5_scan_range": select(READINGS, f"""
 SELECT {s}, {r('temperature')} FROM readings, clock WHERE "timestamp" >= as_of - INTERVAL 7 DAY"""),
+        "A5_past_range": select(READINGS, f"""
+SELECT {s}, {r('temperature')} FROM readings
+WHERE "timestamp" BETWEEN TIMESTAMP '2024-01-13' AND TIMESTAMP '2024-01-20'"""),
+        "A8_register_view": select(READINGS, f"SELECT {s}, {r('temperature')} FROM readings"),
+        "A10_export_csv": select(READINGS, f"SELECT reading_id, device_id, {r('temperature')} FROM readings"),
         "A12_quarantine": select(MESSAGES, """
 SELECT reject_reason, count(*) AS messages FROM parsed WHERE reject_reason IS NOT NULL GROUP BY ALL"""),
         "A13_anomaly_subscription": select(RULED, f"""
@@ -519,6 +553,31 @@ ORDER BY evaluation_timestamp DESC"""),
 SELECT device_id, "timestamp", {r('anomaly_score')}, anomaly_severity, detection_method FROM detections"""),
         "J1_fit_temperature": least_squares("temperature", "vibration"),
         "J2_fit_vibration": least_squares("vibration", "temperature"),
+        "J3_gradient": select(VIEW, f"""
+SELECT feature, count(*) AS readings, true AS is_optimal FROM training,
+  unnest(['temperature', 'vibration', 'temp_change', 'vibration_change', 'temp_avg_5min', 'vibration_avg_5min',
+    'temp_stddev_10min', 'vibration_stddev_10min', 'temp_z_score', 'vibration_z_score']) AS names(feature)
+WHERE {USABLE} GROUP BY feature"""),
+        "J5_confusion": select(VIEW, f"""
+SELECT count(*) FILTER (label) AS positives, count(*) FILTER (NOT label) AS negatives FROM training, clock
+WHERE {USABLE} AND "timestamp" >= as_of - INTERVAL 1 DAY"""),
+        "J6_feature_names": select(VIEW, f"""
+SELECT 'device_type=' || device_type AS feature FROM (
+  SELECT device_type, row_number() OVER (ORDER BY count(*), device_type DESC) AS place FROM training
+  WHERE {USABLE} GROUP BY device_type) WHERE place > 1
+UNION ALL SELECT unnest(['temperature', 'vibration', 'temp_change', 'vibration_change', 'temp_avg_5min',
+  'vibration_avg_5min', 'temp_stddev_10min', 'vibration_stddev_10min', 'temp_z_score', 'vibration_z_score'])"""),
+        "J8_shares": last_day_high(0.95, 0.99),
+        "J11_shares": last_day_high(None, 0.98),
+        "J12_flagged": select(READINGS, f"""
+SELECT count(*) AS readings, count(*) AS scored, {above_quantile('count(*)', 0.95)} AS flagged FROM readings"""),
+        "J13_flagged": select(READINGS, """
+SELECT count(*) AS readings, count(*) AS scored, ceil(0.05::DOUBLE * (count(*) - 1))::BIGINT AS flagged FROM readings"""),
+        "J14_flagged": select(READINGS, f"""
+SELECT n AS readings, m AS scored, {above_quantile('m', 0.95)} AS flagged FROM {FULL}"""),
+        "J19_model_flags": select(READINGS, f"""
+SELECT n AS readings, {above_quantile('n', 0.95)} AS isolation_forest,
+  ceil(0.05::DOUBLE * (n - 1))::BIGINT AS one_class_boundary, {above_quantile('m', 0.95)} AS sequences FROM {FULL}"""),
         "J8_distance_anomalies": select(DISTANCES, f"""
 SELECT {s}, {r('distance_to_centroid')},
   CASE WHEN distance_to_centroid > p99 THEN 0.9::DOUBLE ELSE 0.7::DOUBLE END AS anomaly_score,
@@ -559,6 +618,14 @@ windows AS (
 SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, count(*) AS readings,
   count(*) FILTER (is_anomaly) AS anomalies, {r('count(*) FILTER (is_anomaly) / count(*)', 'anomaly_rate')}
 FROM windows GROUP BY window_start HAVING count(*) FILTER (is_anomaly) / count(*) > 0.1"""),
+        "S4_replay_safe_ingest": select(READINGS, f"""
+SELECT device_id, "timestamp", {r('temperature')} FROM readings"""),
+        "S6_stream_features": select(READINGS, f"""
+SELECT device_id, "timestamp", {rs('temperature', 'vibration')},
+  {r('temperature - lag(temperature) OVER s', 'temp_change')}, {r('vibration - lag(vibration) OVER s', 'vibration_change')},
+  {r(f'avg(temperature) OVER {frame(5)}', 'temp_avg_5min')}, {r(f'avg(vibration) OVER {frame(5)}', 'vibration_avg_5min')},
+  {r(f'stddev_samp(temperature) OVER {frame(10)}', 'temp_stddev_10min')},
+  {r(f'stddev_samp(vibration) OVER {frame(10)}', 'vibration_stddev_10min')} FROM readings {SER}"""),
         "S5_alert_lines": select(RULED, f"""
 SELECT 'WARNING' AS level, device_id, "timestamp", {r('anomaly_score')} FROM flagged WHERE is_anomaly"""),
     }

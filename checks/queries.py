@@ -7,18 +7,25 @@ from pyspark.sql import functions as F
 
 from kelvibra import fixtures as X
 from kelvibra import settings as S
-from kelvibra.functions.expressions import (calendar_features, interaction_features, severity_ladder)
+from kelvibra.functions.expressions import (calendar_features, interaction_features, iso_text, known,
+                                            severity_ladder)
 from kelvibra.models import clusters, reconstruct, regression
 from kelvibra.models.boundary import one_class_boundary
 from kelvibra.models.forecast import forecast_temperature
 from kelvibra.models.isolation import isolation_forest
+from kelvibra.models.registry import ModelRegistry
+from kelvibra.models.run import model_run, model_votes
 from kelvibra.operators import detection as D
 from kelvibra.operators import evaluation as E
 from kelvibra.operators import features as W
 from kelvibra.operators import parsing as P
 from kelvibra.operators import rules as R
 from kelvibra.operators import scans, stats
-from kelvibra.plans.lineage import cut
+from kelvibra.plans.lineage import cut, shared_folder
+from kelvibra.sources import messages as M
+from kelvibra.sources import tables as T
+from kelvibra.streaming import jobs
+from kelvibra.streaming.features import stream_features
 from kelvibra.streaming.jobs import alert_lines, anomaly_subscription
 from kelvibra.streaming.rates import anomaly_rates
 
@@ -43,7 +50,7 @@ def joined(column: str) -> F.Column:
 
 
 # means of eight values end in a 5 at the seventh place, where summation order decides the sixth
-DIGITS = {"D1_device_profile": 8}
+DIGITS = {"D1_device_profile": 8, "J7_members": 8}
 
 
 def query(fn, digits: int = 6):
@@ -291,6 +298,197 @@ def g1_models(spark, sf):
     return D.unified_anomalies(j11(spark, sf), j8(spark, sf), forecast_hits(spark, sf), j4(spark, sf))
 
 
+# --- what holds of every fit, whatever its model ------------------------------------------------------------
+
+def flagged_share(df, flag, of="true"):
+    """Rows, those that a model scored, and those that it flagged."""
+    return df.agg(F.count(F.lit(1)).alias("readings"), F.count_if(F.expr(of)).alias("scored"),
+                  F.count_if(F.col(flag) == 1).alias("flagged"))
+
+
+def severity_shares(df):
+    return df.agg(F.count(F.lit(1)).alias("readings"),
+                  F.count_if(F.col("anomaly_severity") == "HIGH").alias("high"))
+
+
+def j3_gradient(spark, sf):
+    """The balanced likelihood's slope in each feature at the fitted coefficients, as a share of the feature's
+    mean size: it is 0 at the optimum."""
+    rows = regression.classifier_inputs(view(spark, sf))
+    scored = regression.predict(regression.fit_anomaly_classifier(view(spark, sf)), rows)
+    sizes = rows.agg(F.count_if("label").alias("pos"), F.count_if(~F.col("label")).alias("neg"))
+    weight = F.when(F.col("label"), 1 / sizes.select("pos").scalar()).otherwise(1 / sizes.select("neg").scalar())
+    away = (F.col("anomaly_probability") - F.col("label").cast("double")) * weight
+    slopes = scored.agg(F.count(F.lit(1)).alias("readings"), *[
+        F.abs(F.sum(away * F.col(c)) / F.sum(weight * F.abs(F.col(c)))).alias(c) for c in regression.CLASS_FEATURES])
+    return slopes.unpivot(["readings"], list(regression.CLASS_FEATURES), "feature", "slope").select(
+        "feature", "readings", (F.col("slope") < 0.001).alias("is_optimal"))
+
+
+def j5_confusion(spark, sf):
+    v = view(spark, sf)
+    rows = scans.scan_range(regression.classifier_inputs(v), "1 DAYS")
+    scored = regression.predict(regression.fit_anomaly_classifier(v), rows)
+    counts = E.confusion(scored.select(F.col("label").cast("int").alias("y_true"),
+                                       F.col("prediction").cast("int").alias("y_pred")))
+    return counts.select((F.col("tp") + F.col("fn")).alias("positives"), (F.col("fp") + F.col("tn")).alias("negatives"))
+
+
+def j6_names(spark, sf):
+    return j6(spark, sf).select("feature")
+
+
+def j7_members(spark, sf):
+    """Each device is in one cluster, its profile unchanged."""
+    return j7(spark, sf).filter(F.col("cluster_id").between(0, 4) & (F.col("distance_to_centroid") >= 0)) \
+        .drop("cluster_id", "distance_to_centroid")
+
+
+def j8_shares(spark, sf):
+    return severity_shares(j8(spark, sf))
+
+
+def model_run_query(spark, sf):
+    return model_run(series(spark, sf), flags(spark, sf).select("reading_id", "y_true"))
+
+
+def model_run_shares(spark, sf):
+    """How many rows each of the three models flags among all readings."""
+    votes = model_votes(series(spark, sf))
+    return votes.agg(F.count(F.lit(1)).alias("readings"), *[F.sum(c).alias(c) for c in votes.columns
+                                                            if c not in ("reading_id", "ensemble")])
+
+
+# --- sources, tables and streams, written and read back ------------------------------------------------------
+
+def inbox(spark, sf):
+    """The messages as JSON lines in files."""
+    folder = shared_folder(spark)
+    X.raw_messages(spark, sf).repartition(8).write.text(folder)
+    return folder
+
+
+def a2(spark, sf):
+    records = P.parse_messages(M.message_batch(spark, inbox(spark, sf)))
+    return ntz(records, "timestamp").select("*", *[F.col(f"location.{c}").alias(c) for c in ("building", "floor", "room")]) \
+        .select(*RECORD, "reject_reason")
+
+
+def table_rows(spark, folder):
+    columns = [c for c in S.READING_COLUMNS if c != "processed_at"]
+    return ntz(spark.read.parquet(folder), "timestamp").select(*columns)
+
+
+def a3(spark, sf):
+    folder = shared_folder(spark)
+    T.append_readings(R.format_reading(ruled_messages(spark, sf)), folder)
+    return table_rows(spark, folder)
+
+
+def a5_past(spark, sf):
+    """A range of the stored table that ends at a past moment: days are pruned."""
+    folder = shared_folder(spark)
+    T.partition_and_cluster(X.readings(spark, sf), folder)
+    moment = F.lit("2024-01-20 00:00:00").cast("timestamp_ntz")
+    return scans.scan_range(spark.read.parquet(folder), "7 DAYS", moment).select(*SERIES, "temperature")
+
+
+def a6(spark, sf):
+    folder = shared_folder(spark)
+    M.publish_alerts(R.format_alert(ruled_messages(spark, sf)), folder)
+    return alerts_read(spark, folder)
+
+
+def alerts_read(spark, folder):
+    kind = ("alert_id string, device_id string, timestamp string, severity string, message string, details struct<"
+            f"temperature: double, vibration: double, reasons: array<string>, location: {S.LOCATION}>")
+    return spark.read.schema(kind).json(folder).select(
+        "alert_id", "device_id", "timestamp", "severity", "message", "details.temperature", "details.vibration",
+        joined("details.reasons").alias("reasons"), F.col("details.location.building").alias("building"))
+
+
+def a8(spark, sf):
+    return T.register_view(X.readings(spark, sf), "kelvibra_readings").select(*SERIES, "temperature")
+
+
+def a9(spark, sf):
+    folder = shared_folder(spark)
+    T.append_metrics(E.classification_metrics(X.scored_models(spark, sf), ["model_name"]), folder)
+    names = [c for c in S.METRIC_COLUMNS if c != "auc_roc"]
+    return T.read_metrics(spark, folder).select("model_name", *names)
+
+
+def a10(spark, sf):
+    folder = shared_folder(spark)
+    T.export_csv(X.readings(spark, sf).select("reading_id", "device_id", "temperature"), folder)
+    return spark.read.schema("reading_id long, device_id string, temperature double").csv(folder, header=True)
+
+
+def a11(spark, sf):
+    """J1 with a model that was saved and loaded."""
+    folder, v = shared_folder(spark), view(spark, sf)
+    models = ModelRegistry()
+    models.add("temperature", regression.fit_temperature(v))
+    models.save(spark, folder)
+    return regression.predict(ModelRegistry.load(spark, folder).models["temperature"], regression.trend_inputs(v)).select(
+        *SERIES, "temperature", "predicted_temperature")
+
+
+def s1(spark, sf):
+    return table_rows(spark, detection_folders(spark, sf)[0])
+
+
+def s1_alerts(spark, sf):
+    return alerts_read(spark, detection_folders(spark, sf)[1])
+
+
+def detection_folders(spark, sf):
+    """The detection job over the messages as a stream of files."""
+    folder = shared_folder(spark)
+    places = [f"{folder}/{n}" for n in ("table", "alerts", "rejects", "state")]
+    stream = M.message_stream(spark, "text", inbox(spark, sf), maxFilesPerTrigger="4")
+    jobs.run_detection(stream, *places).awaitTermination()
+    return places
+
+
+def s2(spark, sf):
+    """Wide readings as JSON messages, scored by the streaming consumer."""
+    folder, source = shared_folder(spark), shared_folder(spark)
+    rows = X.readings_wide(spark, sf)
+    rows.select(F.to_json(F.struct(
+        F.col("reading_id").cast("string").alias("device_id"), iso_text("timestamp").alias("timestamp"), "device_type",
+        "temperature", "humidity", "pressure", "vibration_level", "power_consumption")).alias("value")).write.text(source)
+    stream = M.message_stream(spark, "text", source)
+    jobs.consume_and_score(stream, f"{folder}/table", f"{folder}/state").awaitTermination()
+    return spark.read.parquet(f"{folder}/table").select(
+        F.col("device_id").cast("bigint").alias("reading_id"), "anomaly_score", "rule_based_anomaly")
+
+
+def file_stream(spark, rows):
+    folder = shared_folder(spark)
+    rows.write.parquet(folder)
+    return spark.readStream.schema(rows.schema).parquet(folder)
+
+
+def s4(spark, sf):
+    """Readings delivered twice, stored once."""
+    rows = X.readings(spark, sf).select("device_id", F.col("timestamp").cast("timestamp").alias("timestamp"), "temperature")
+    folder = shared_folder(spark)
+    once = jobs.replay_safe_ingest(file_stream(spark, rows.union(rows)))
+    jobs.streaming_row_sink(once, f"{folder}/table", f"{folder}/state").awaitTermination()
+    return ntz(spark.read.parquet(f"{folder}/table"), "timestamp").select("device_id", "timestamp", "temperature")
+
+
+def s6(spark, sf):
+    """The stream's features, of the readings that both devices and batch have in one order."""
+    rows = X.readings(spark, sf).select("device_id", F.col("timestamp").cast("timestamp").alias("timestamp"),
+                                        "temperature", "vibration")
+    folder = shared_folder(spark)
+    jobs.streaming_row_sink(stream_features(file_stream(spark, rows)), f"{folder}/table", f"{folder}/state").awaitTermination()
+    out = ntz(spark.read.parquet(f"{folder}/table").drop("batch_id"), "timestamp")
+    return out.withColumns({c: known(c) for c, kind in out.dtypes if kind == "double"})
+
+
 def readings_counted(spark, sf):
     return stats.severity_counts(X.flagged(spark, sf))
 
@@ -298,6 +496,14 @@ def readings_counted(spark, sf):
 def build() -> dict:
     q = {
         "A5_scan_range": lambda s, f: scans.scan_range(X.readings(s, f), "7 DAYS").select(*SERIES, "temperature"),
+        "A2_message_batch": a2,
+        "A3_append_readings": a3,
+        "A5_past_range": a5_past,
+        "A6_publish_alerts": a6,
+        "A8_register_view": a8,
+        "A9_append_metrics": a9,
+        "A10_export_csv": a10,
+        "A11_model_registry": a11,
         "A12_quarantine": lambda s, f: P.quarantine(parsed(s, f)).groupBy("reject_reason")
         .agg(F.count(F.lit(1)).alias("messages")),
         "A13_anomaly_subscription": lambda s, f: anomaly_subscription(X.flagged(s, f)).select(
@@ -382,11 +588,16 @@ def build() -> dict:
         "J1_fit_temperature": j1,
         "J2_fit_vibration": j2,
         "J3_anomaly_classifier": j3,
+        "J3_gradient": j3_gradient,
         "J4_supervised_anomalies": j4,
         "J5_evaluate_classifier": j5,
+        "J5_confusion": j5_confusion,
+        "J6_feature_names": j6_names,
         "J6_feature_importance": j6,
         "J6_global_explain": j6_global,
         "J7_device_clusters": j7,
+        "J7_members": j7_members,
+        "J8_shares": j8_shares,
         "J8_kmeans_anomalies": j8,
         "J8_distance_anomalies": j8_ladder,
         "J9_forecast_temperature": forecast,
@@ -395,6 +606,14 @@ def build() -> dict:
         "J12_isolation_forest": lambda s, f: isolation_forest(series(s, f)),
         "J13_one_class_boundary": lambda s, f: one_class_boundary(series(s, f)),
         "J14_sequence_anomalies": lambda s, f: reconstruct.sequence_anomalies(series(s, f)),
+        "J11_shares": lambda s, f: severity_shares(j11(s, f)),
+        "J12_flagged": lambda s, f: flagged_share(isolation_forest(series(s, f)), "isolation_anomaly",
+                                                  "isolation_score between 0 and 1"),
+        "J13_flagged": lambda s, f: flagged_share(one_class_boundary(series(s, f)), "boundary_anomaly"),
+        "J14_flagged": lambda s, f: flagged_share(reconstruct.sequence_anomalies(series(s, f)), "sequence_anomaly",
+                                                  "sequence_error is not null"),
+        "J19_model_run": model_run_query,
+        "J19_model_flags": model_run_shares,
         "J15_ensemble_vote": j15,
         "J16_ensemble_score": j16,
         "J17_scale_standard": lambda s, f: W.scale_standard(series(s, f), W.VALUES).select(
@@ -404,6 +623,11 @@ def build() -> dict:
         "J18_ordered_split": lambda s, f: W.ordered_split(series(s, f)).select("reading_id", "is_train"),
         "J19_evaluate_all": lambda s, f: E.evaluate_all(
             D.ensemble_vote(flags(s, f), FLAGS), [*FLAGS, "ensemble"]),
+        "S1_run_detection": s1,
+        "S1_alerts": s1_alerts,
+        "S2_consume_and_score": s2,
+        "S4_replay_safe_ingest": s4,
+        "S6_stream_features": s6,
         "S3_anomaly_rates": lambda s, f: ntz(anomaly_rates(X.flagged(s, f)), "window_start", "window_end"),
         "S5_alert_lines": lambda s, f: alert_lines(X.flagged(s, f)).select(
             "level", "device_id", "timestamp", "anomaly_score"),

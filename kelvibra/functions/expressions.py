@@ -15,6 +15,11 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def known(c: str | Column) -> Column:
+    """The value, null where it is NaN: a reading that is not a number counts as missing."""
+    return F.when(~F.isnan(col(c)), col(c))
+
+
 def above(c: str | Column, limit) -> Column:
     """c > limit, false for null and for NaN (Spark orders NaN above every number)."""
     return F.coalesce((col(c) > limit) & ~F.isnan(col(c)), F.lit(False))

@@ -56,9 +56,6 @@ def exact_quantiles(df: DataFrame, column: str, probs, method: str = "linear",
         if method == "disc":
             out.append(_value_at(values, max(0, math.ceil(p * size) - 1), size, keep))
             continue
-        if size <= keep:
-            out.append(values.agg(F.percentile("x", F.lit(float(p)))).first()[0])
-            continue
         place = p * (size - 1)
         low = _value_at(values, math.floor(place), size, keep)
         part = place - math.floor(place)

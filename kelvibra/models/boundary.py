@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kelvibra.functions.expressions import known
 from kelvibra.functions.quantiles import exact_quantiles
 from kelvibra.models.isolation import standard_scale
 from kelvibra.plans.lineage import cut, spread
@@ -48,7 +49,7 @@ class OneClassBoundary:
     offset: float = 0.0
 
     def _scaled(self):
-        return [F.coalesce((F.col(c).cast("double") - F.lit(m)) / F.lit(s), F.lit(0.0)).alias(f"x{i}")
+        return [F.coalesce((known(F.col(c).cast("double")) - F.lit(m)) / F.lit(s), F.lit(0.0)).alias(f"x{i}")
                 for i, (c, m, s) in enumerate(zip(self.cols, self.centre, self.scale))]
 
     def _settings(self) -> tuple[np.ndarray, float, int, int]:
@@ -110,7 +111,7 @@ class OneClassBoundary:
 def fit_one_class_boundary(df: DataFrame, cols: Sequence[str] = ("temperature", "vibration"),
                            nu: float = 0.05, seed: int = 42, features: int = 256,
                            steps: int = 10) -> OneClassBoundary:
-    """A fixed number of passes. Starts from the mean feature vector; step t moves by 1 / (t + 1) towards
+    """A fixed number of passes; a missing value (null, NaN) counts as its column's mean. Starts from the mean feature vector; step t moves by 1 / (t + 1) towards
     the sum over rows inside the margin, whose edge follows the nu quantile; the final edge is the nu
     quantile of the final values."""
     cols = list(cols)

@@ -11,6 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kelvibra.functions.expressions import known
 from kelvibra.operators.detection import distance_anomalies
 from kelvibra.operators.scans import scan_range
 from kelvibra.operators.stats import distance_quantiles
@@ -23,11 +24,11 @@ WIDE = ("temperature", "humidity", "pressure", "vibration_level", "power_consump
 
 
 def _filled(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.withColumns({f"_f_{c}": F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in cols})
+    return df.withColumns({f"_f_{c}": F.coalesce(known(F.col(c).cast("double")), F.lit(0.0)) for c in cols})
 
 
 def fit_clusters(df: DataFrame, cols: Sequence[str], k: int = 5, seed: int = 42) -> PipelineModel:
-    """Standardized columns, then k-means. Nulls count as 0."""
+    """Standardized columns, then k-means. Null and NaN count as 0."""
     stages = [
         VectorAssembler(inputCols=[f"_f_{c}" for c in cols], outputCol="_features"),
         StandardScaler(inputCol="_features", outputCol="_scaled", withMean=True, withStd=True),

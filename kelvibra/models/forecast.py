@@ -12,6 +12,7 @@ from statistics import NormalDist
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kelvibra.functions.expressions import known
 from kelvibra.operators.scans import range_start
 from kelvibra.plans.lineage import cut
 
@@ -31,10 +32,10 @@ def forecast_temperature(df: DataFrame, as_of=None, horizon: int = 24, level: fl
     start = range_start(df, f"{days} DAYS", as_of)
     first = F.date_trunc("hour", range_start(df, f"{horizon - 1} HOURS", as_of)).cast(kind)
     origin = start.cast("date")
-    t, y = _hours_since(F.col("timestamp"), origin), F.col("temperature")
+    t, y = _hours_since(F.col("timestamp"), origin), known("temperature")
 
     cells = (
-        df.filter((F.col("timestamp") >= start) & (F.col("timestamp") < first))
+        df.filter((F.col("timestamp") >= start) & (F.col("timestamp") < first) & y.isNotNull())
         .select("device_id", "device_type", "timestamp", F.hour("timestamp").alias("hour"),
                 y.alias("y"), t.alias("t"))
         .groupBy("device_id", "device_type", "hour")

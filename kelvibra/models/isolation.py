@@ -2,7 +2,7 @@
 
 Every tree is grown from a sample of fixed size, so growing is bounded whatever the table's size; the
 node table has at most trees * 2 * sample lines and is broadcast for scoring, which is one pass.
-Samples are chosen by hashes of the row key and do not depend on partitioning.
+Samples are chosen by hashes of the rows and do not depend on partitioning or on the table's size.
 """
 
 from __future__ import annotations
@@ -16,11 +16,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from kelvibra.functions.expressions import known
 from kelvibra.functions.quantiles import exact_quantiles
 from kelvibra.plans.lineage import cut, spread
 
 NODES = "tree int, node int, feature int, split double, child int, depth double"
-HASH_SPACE = 1 << 30
+HASH_SPACE = 1 << 62
 
 
 def mean_path(size) -> np.ndarray:
@@ -66,7 +67,7 @@ class IsolationForest:
     threshold: float | None = None
 
     def _scaled(self):
-        return [F.coalesce((F.col(c).cast("double") - F.lit(m)) / F.lit(s), F.lit(0.0))
+        return [F.coalesce((known(F.col(c).cast("double")) - F.lit(m)) / F.lit(s), F.lit(0.0))
                 for c, m, s in zip(self.cols, self.centre, self.scale)]
 
     def score(self, df: DataFrame, name: str = "isolation_score") -> DataFrame:
@@ -119,42 +120,39 @@ class IsolationForest:
 def standard_scale(df: DataFrame, cols: Sequence[str]) -> tuple[int, list[float], list[float]]:
     """Rows, means and population deviations (1 for a constant column) from one aggregate."""
     row = df.agg(F.count(F.lit(1)).alias("n"),
-                 F.array(*[F.coalesce(F.avg(c), F.lit(0.0)) for c in cols]).alias("m"),
-                 F.array(*[F.coalesce(F.stddev_pop(c), F.lit(0.0)) for c in cols]).alias("s")).first()
+                 F.array(*[F.coalesce(F.avg(known(c)), F.lit(0.0)) for c in cols]).alias("m"),
+                 F.array(*[F.coalesce(F.stddev_pop(known(c)), F.lit(0.0)) for c in cols]).alias("s")).first()
     return row["n"], list(row["m"]), [s or 1.0 for s in row["s"]]
 
 
 def fit_isolation_forest(df: DataFrame, cols: Sequence[str] = ("temperature", "vibration"),
-                         key: str = "reading_id", trees: int = 100, sample: int = 256,
+                         key: str | Sequence[str] = "reading_id", trees: int = 100, sample: int = 256,
                          contamination: float = 0.05, seed: int = 42) -> IsolationForest:
-    """Fits on standardized columns. The threshold is the exact (1 - contamination) quantile of the
-    fitted rows' scores, which are computed once and kept in a checkpoint."""
-    cols = list(cols)
+    """Fits on standardized columns; a missing value (null, NaN) counts as the mean. Each tree is grown from
+    the `sample` rows of least hash, which is taken of tree, key columns and values: rows alike in all of them
+    are one draw. The threshold is the exact (1 - contamination) quantile of the fitted rows' scores, which
+    are computed once and kept in a checkpoint."""
+    cols, keys = list(cols), [key] if isinstance(key, str) else list(key)
     rows, centre, scale = standard_scale(df, cols)
     if rows == 0:
         raise ValueError("no rows to fit on")
-    size = min(sample, rows)
+    distinct = df.agg(F.approx_count_distinct(F.xxhash64(*keys, *cols))).first()[0]
+    size = min(sample, distinct)
     forest = IsolationForest(cols, centre, scale, pd.DataFrame(), trees, size)
     values = [v.alias(f"x{i}") for i, v in enumerate(forest._scaled())]
     names = [f"x{i}" for i in range(len(cols))]
 
-    # About 4 * sample * trees rows stay in play at most, and about as many draws are made from them:
-    # a row enters as many trees, picked by hash, as it takes to give each tree four times its sample.
-    wanted = 4 * size * trees
-    pool_share = min(1.0, wanted / rows)
-    pool = df.select(F.col(key).alias("k"), *values).filter(
-        F.pmod(F.xxhash64("k", F.lit(seed)), F.lit(HASH_SPACE)) < F.lit(int(pool_share * HASH_SPACE)))
-    if rows <= 4 * size:
-        drawn = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    else:
-        picks = F.explode(F.sequence(F.lit(1), F.lit(math.ceil(wanted / (rows * pool_share)))))
-        drawn = (pool.withColumn("pick", picks)
-                 .withColumn("tree", F.pmod(F.xxhash64("k", "pick", F.lit(seed)), F.lit(trees)).cast("int"))
-                 .drop("pick").dropDuplicates(["tree", "k"]))
+    # Hashes up to a bound are enough: four times the sample is expected below it, so that a tree finds
+    # fewer rows than it needs only if the table has no more.
+    bound = int(min(1.0, (4 * size + 100) / (0.8 * distinct)) * HASH_SPACE)
+    ticket = F.pmod(F.xxhash64("tree", "k", F.lit(seed)), F.lit(HASH_SPACE))
+    drawn = (df.select(F.xxhash64(*keys, *cols).alias("k"), *values)
+             .withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+             .withColumn("ticket", ticket).filter(F.col("ticket") < F.lit(bound))
+             .dropDuplicates(["tree", "ticket", "k"]))
     first = Window.partitionBy("tree").orderBy("ticket", "k")
     tasks = min(trees, df.sparkSession.sparkContext.defaultParallelism)  # few bytes, but work for all
     draws = (drawn.repartition(tasks, "tree")
-             .withColumn("ticket", F.xxhash64("k", "tree", F.lit(seed + 1)))
              .withColumn("place", F.row_number().over(first)).filter(F.col("place") <= size))
     limit = math.ceil(math.log2(max(2, size)))
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kelvibra import settings as S
-from kelvibra.functions.expressions import severity_ladder
+from kelvibra.functions.expressions import known, severity_ladder
 from kelvibra.functions.quantiles import exact_quantiles
 from kelvibra.operators.features import scale_minmax, with_sequences
 from kelvibra.operators.scans import scan_range
@@ -33,7 +33,7 @@ def _loss(width: int) -> Column:
 
 def fit_autoencoder(wide: DataFrame, cols: Sequence[str] = S.WIDE_FEATURES, k: int = 4) -> PipelineModel:
     """Standardize, then k components."""
-    rows = wide.select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in cols])
+    rows = wide.select(*[F.coalesce(known(F.col(c).cast("double")), F.lit(0.0)).alias(c) for c in cols])
     stages = [
         VectorAssembler(inputCols=list(cols), outputCol="_features"),
         StandardScaler(inputCol="_features", outputCol="_centred", withMean=True, withStd=True),
@@ -46,7 +46,7 @@ def fit_autoencoder(wide: DataFrame, cols: Sequence[str] = S.WIDE_FEATURES, k: i
 def reconstruction_error(model: PipelineModel, df: DataFrame) -> DataFrame:
     """mse: mean squared loss per feature."""
     cols = model.stages[0].getInputCols()
-    rows = df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in cols})
+    rows = df.withColumns({c: F.coalesce(known(F.col(c).cast("double")), F.lit(0.0)) for c in cols})
     return model.transform(rows).withColumn("mse", _loss(len(cols))) \
         .drop("_features", "_centred", "_parts")
 
@@ -67,8 +67,9 @@ def autoencoder_anomalies(model: PipelineModel, wide: DataFrame, as_of=None, day
 
 def sequence_vectors(df: DataFrame, cols: Sequence[str], n: int) -> DataFrame:
     """Min-max scaled n-row sequences of each device as flat vectors, on the sequence's last row. Rows
-    without a full sequence get zeros and is_full = false."""
-    rows = with_sequences(scale_minmax(df, cols), [f"{c}_scaled" for c in cols], n)
+    without a full sequence get zeros and is_full = false. A missing reading counts as the least."""
+    scaled = scale_minmax(df, cols).fillna(0.0, [f"{c}_scaled" for c in cols])
+    rows = with_sequences(scaled, [f"{c}_scaled" for c in cols], n)
     full = F.size("sequence") == n
     blank = F.array_repeat(F.lit(0.0), n * len(cols))
     flat = F.when(full, F.flatten("sequence")).otherwise(blank)

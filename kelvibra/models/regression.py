@@ -46,7 +46,7 @@ def _stages(rows: DataFrame, numeric: Sequence[str], category: str | None) -> li
 
 
 def trend_inputs(view: DataFrame) -> DataFrame:
-    usable = view.filter("temp_avg_5min is not null and vibration_avg_5min is not null")
+    usable = view.dropna(subset=["temperature", "vibration", "temp_avg_5min", "vibration_avg_5min"])
     return calendar_features(usable)
 
 
@@ -97,8 +97,9 @@ def _fit_classifier(rows: DataFrame, numeric: Sequence[str], category: str | Non
 
 
 def classifier_inputs(view: DataFrame) -> DataFrame:
-    """Rows of the training view with z-scores; a device's first row has no change and no deviation."""
-    return training_zscore(view)
+    """Rows of the training view with z-scores; a device's first row has no change and no deviation.
+    Rows that lack a feature are left out."""
+    return training_zscore(view).dropna(subset=list(CLASS_FEATURES))
 
 
 def fit_anomaly_classifier(view: DataFrame, iterations: int = 50) -> PipelineModel:
@@ -113,8 +114,9 @@ def fit_supervised(wide: DataFrame, label: str, iterations: int = 50) -> Pipelin
 
 
 def supervised_anomalies(model: PipelineModel, wide: DataFrame, as_of=None, days: int = 1) -> DataFrame:
-    """J4. Rows of the last day predicted anomalous, their probability and severity."""
-    scored = predict(model, scan_range(wide, f"{days} DAYS", as_of))
+    """J4. Rows of the last day predicted anomalous, their probability and severity. Rows that lack a feature
+    are not predicted."""
+    scored = predict(model, scan_range(wide, f"{days} DAYS", as_of).dropna(subset=list(S.WIDE_FEATURES)))
     p = F.col("anomaly_probability")
     return scored.filter(F.col("prediction") == 1.0).select(
         "device_id", "timestamp", "temperature", "humidity", "pressure", "vibration_level",

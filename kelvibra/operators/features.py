@@ -1,5 +1,7 @@
 """Features over a device's readings in time order.
 
+A reading that is null or NaN is missing: frames skip it, and what is derived from it alone is null.
+
 Four z-scores share names here and in rules; they are different measures:
 baseline_zscore (fixed baselines), training_zscore (5-row mean with 10-row deviation, absolute),
 dashboard_zscore (11 rows, signed), eps_features (5 rows, absolute, deviation + 1e-8).
@@ -13,7 +15,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from kelvibra.functions.expressions import eps_ratio, interaction_features, safe_ratio
+from kelvibra.functions.expressions import eps_ratio, interaction_features, known, safe_ratio
 from kelvibra.operators.scans import scan_range
 from kelvibra.plans.slices import (KEYS, MAX_ROWS, ORDER, cold_rows, hot_series, in_slices,
                                     slice_starts, windowed)
@@ -32,28 +34,28 @@ def _short(name: str) -> str:
 def change_features(df: DataFrame, cols: Sequence[str] = VALUES, **series) -> DataFrame:
     """E1. <col>_change: difference to the device's previous reading."""
     def build(rows, w):
-        return rows.withColumns({f"{_short(c)}_change": F.col(c) - F.lag(c, 1).over(w) for c in cols})
+        return rows.withColumns({f"{_short(c)}_change": known(c) - F.lag(known(c), 1).over(w) for c in cols})
     return windowed(df, build, 1, **series)
 
 
 def rolling_mean(df: DataFrame, cols: Sequence[str] = VALUES, rows: int = 5, **series) -> DataFrame:
     """E2. <col>_avg_<rows>: mean of the last rows, the current one included."""
     def build(data, w):
-        return data.withColumns({f"{_short(c)}_avg_{rows}": F.avg(c).over(_last(w, rows)) for c in cols})
+        return data.withColumns({f"{_short(c)}_avg_{rows}": F.avg(known(c)).over(_last(w, rows)) for c in cols})
     return windowed(df, build, rows - 1, **series)
 
 
 def rolling_std(df: DataFrame, cols: Sequence[str] = VALUES, rows: int = 10, **series) -> DataFrame:
     """E3. <col>_stddev_<rows>: sample deviation, null for a single row."""
     def build(data, w):
-        return data.withColumns({f"{_short(c)}_stddev_{rows}": F.stddev_samp(c).over(_last(w, rows))
+        return data.withColumns({f"{_short(c)}_stddev_{rows}": F.stddev_samp(known(c)).over(_last(w, rows))
                                  for c in cols})
     return windowed(df, build, rows - 1, **series)
 
 
 def training_features(rows: DataFrame, w: WindowSpec) -> DataFrame:
     """E1 to E3 over one window: a single sort serves all six."""
-    t, v = F.col("temperature"), F.col("vibration")
+    t, v = known("temperature"), known("vibration")
     return rows.withColumns({
         "temp_change": t - F.lag(t, 1).over(w),
         "vibration_change": v - F.lag(v, 1).over(w),
@@ -70,17 +72,18 @@ def training_view(df: DataFrame, as_of=None, days: int = 30, **series) -> DataFr
     (vibration_level, is_anomaly as label)."""
     ranged = scan_range(df, f"{days} DAYS", as_of)
     tie = [c for c in ("reading_id",) if c in df.columns]
-    rows = ranged.select("device_id", "timestamp", *tie, "device_type", "temperature",
-                         F.col("vibration_level").alias("vibration"), F.col("is_anomaly").alias("label"))
+    rows = ranged.select("device_id", "timestamp", *tie, "device_type",
+                         known("temperature").alias("temperature"), known("vibration_level").alias("vibration"), F.col("is_anomaly").alias("label"))
     return windowed(rows, training_features, 9, **series)
 
 
 def training_zscore(view: DataFrame) -> DataFrame:
     """E5. Absolute distance from the 5-row mean in 10-row deviations; rows without one are left out."""
     usable = view.filter("temp_avg_5min is not null and vibration_avg_5min is not null "
-                         "and temp_stddev_10min > 0 and vibration_stddev_10min > 0")
+                         "and temp_stddev_10min > 0 and vibration_stddev_10min > 0 "
+                         "and temperature is not null and vibration is not null")
     return usable.withColumns({
-        f"{p}_z_score": safe_ratio(F.abs(F.col(c) - F.col(f"{p}_avg_5min")), F.col(f"{p}_stddev_10min"))
+        f"{p}_z_score": safe_ratio(F.abs(known(c) - F.col(f"{p}_avg_5min")), F.col(f"{p}_stddev_10min"))
         for p, c in (("temp", "temperature"), ("vibration", "vibration"))})
 
 
@@ -89,8 +92,8 @@ def dashboard_zscore(df: DataFrame, rows: int = 11, **series) -> DataFrame:
     def build(data, w):
         frame = _last(w, rows)
         return data.withColumns({
-            f"{_short(c)}_z_score": safe_ratio(F.col(c) - F.avg(c).over(frame),
-                                               F.stddev_samp(c).over(frame)) for c in VALUES})
+            f"{_short(c)}_z_score": safe_ratio(known(c) - F.avg(known(c)).over(frame),
+                                               F.stddev_samp(known(c)).over(frame)) for c in VALUES})
     return windowed(df, build, rows - 1, **series)
 
 
@@ -102,22 +105,18 @@ def eps_features(df: DataFrame, rows: int = 5, **series) -> DataFrame:
         for c in VALUES:
             p = _short(c)
             data = data.withColumns({
-                f"{p}_rolling_mean": F.avg(c).over(frame),
-                f"{p}_rolling_std": F.stddev_samp(c).over(frame),
-                f"{p}_change": F.col(c) - F.lag(c, 1).over(w),
+                f"{p}_rolling_mean": F.avg(known(c)).over(frame),
+                f"{p}_rolling_std": F.stddev_samp(known(c)).over(frame),
+                f"{p}_change": known(c) - F.lag(known(c), 1).over(w),
             })
         return data
     out = windowed(df, build, rows - 1, **series)
     out = out.withColumns({
-        f"{_short(c)}_z_score": F.abs(eps_ratio(F.col(c) - F.col(f"{_short(c)}_rolling_mean"),
+        f"{_short(c)}_z_score": F.abs(eps_ratio(known(c) - F.col(f"{_short(c)}_rolling_mean"),
                                                 F.col(f"{_short(c)}_rolling_std"))) for c in VALUES})
     return interaction_features(out)
 
 
-def _known(c: str) -> Column:
-    return F.when(~F.isnan(c), F.col(c))
-
-
 def fill_gaps(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = KEYS,
               order: Sequence[str] = ORDER, max_rows: int = MAX_ROWS) -> DataFrame:
     """E8. Each null or NaN takes the next known value of its series, else the last one before it.
@@ -141,7 +140,7 @@ def fill_gaps(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = KEYS,
     def fill(rows: DataFrame, by: Sequence[str], carried: bool = False) -> DataFrame:
         """The next known value, else what later slices carry, else the last, else what earlier carry."""
         def value(c: str) -> Column:
-            ahead, behind = latest(_known(c), by, backwards), latest(_known(c), by, onwards)
+            ahead, behind = latest(known(c), by, backwards), latest(known(c), by, onwards)
             if carried:
                 return F.coalesce(ahead, f"_after_{c}", behind, f"_before_{c}")
             return F.coalesce(ahead, behind)
@@ -152,10 +151,10 @@ def fill_gaps(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = KEYS,
         return fill(df, keys)
     cold = fill(cold_rows(df, hot, keys), keys)
     rows = in_slices(df, hot, keys, order, max_rows)
-    known = {c: F.when(_known(c).isNotNull(), F.struct(*order, F.col(c).alias("_v"))) for c in cols}
+    placed = {c: F.when(known(c).isNotNull(), F.struct(*order, F.col(c).alias("_v"))) for c in cols}
     ends = rows.groupBy(*keys, "_slice").agg(
-        *[F.min(v).alias(f"_first_{c}") for c, v in known.items()],
-        *[F.max(v).alias(f"_last_{c}") for c, v in known.items()])
+        *[F.min(v).alias(f"_first_{c}") for c, v in placed.items()],
+        *[F.max(v).alias(f"_last_{c}") for c, v in placed.items()])
     others = (Window.unboundedPreceding, -1)
     up, down = both(["_slice"])
     carried = ends.select(
@@ -182,22 +181,22 @@ def sequences(df: DataFrame, cols: Sequence[str] = VALUES, n: int = 10, **series
 def scale_standard(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
     """J17. (x - mean) / population deviation, from one aggregate over the training rows."""
     source = df if fit_on is None else fit_on
-    stats = source.agg(*[f(c).alias(f"{n}_{c}") for c in cols
+    stats = source.agg(*[f(known(c)).alias(f"{n}_{c}") for c in cols
                          for n, f in (("mean", F.avg), ("dev", F.stddev_pop))])
     pick = partial(_scalar, stats)
-    return df.withColumns({f"{c}_scaled": (F.col(c) - pick(f"mean_{c}"))
+    return df.withColumns({f"{c}_scaled": (known(c) - pick(f"mean_{c}"))
                            / F.when(pick(f"dev_{c}") == 0, 1.0).otherwise(pick(f"dev_{c}")) for c in cols})
 
 
 def scale_minmax(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
     """J17. (x - min) / (max - min); a constant column becomes 0."""
     source = df if fit_on is None else fit_on
-    stats = source.agg(*[f(c).alias(f"{n}_{c}") for c in cols
+    stats = source.agg(*[f(known(c)).alias(f"{n}_{c}") for c in cols
                          for n, f in (("min", F.min), ("max", F.max))])
     pick = partial(_scalar, stats)
     return df.withColumns({
-        f"{c}_scaled": F.coalesce(safe_ratio(F.col(c) - pick(f"min_{c}"),
-                                             pick(f"max_{c}") - pick(f"min_{c}")), F.col(c) * 0.0)
+        f"{c}_scaled": F.coalesce(safe_ratio(known(c) - pick(f"min_{c}"),
+                                             pick(f"max_{c}") - pick(f"min_{c}")), known(c) * 0.0)
         for c in cols})
 
 

@@ -1,11 +1,12 @@
-"""Aggregates behind the monitoring page. All of them combine partially before the shuffle."""
+"""Aggregates behind the monitoring page. All of them combine partially before the shuffle. A reading that is
+null or NaN is counted as a row and left out of means, deviations and extremes."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kelvibra.functions.expressions import above, col
+from kelvibra.functions.expressions import above, col, known
 from kelvibra.functions.quantiles import exact_quantiles
 from kelvibra.operators.scans import scan_range
 
@@ -21,10 +22,10 @@ def share(flags: Column, of: Column | None = None) -> Column:
 def device_profile(df: DataFrame, as_of=None, days: int = 7) -> DataFrame:
     """D1. Mean, deviation and count per device and type over the last days (stored readings)."""
     return scan_range(df, f"{days} DAYS", as_of).groupBy("device_id", "device_type").agg(
-        F.avg("temperature").alias("avg_temperature"),
-        F.avg("vibration_level").alias("avg_vibration"),
-        F.stddev_samp("temperature").alias("temp_variability"),
-        F.stddev_samp("vibration_level").alias("vibration_variability"),
+        F.avg(known("temperature")).alias("avg_temperature"),
+        F.avg(known("vibration_level")).alias("avg_vibration"),
+        F.stddev_samp(known("temperature")).alias("temp_variability"),
+        F.stddev_samp(known("vibration_level")).alias("vibration_variability"),
         F.count(F.lit(1)).alias("reading_count"))
 
 
@@ -73,7 +74,7 @@ def kpis(df: DataFrame, flag: str = FLAG, approx_devices: bool = False) -> DataF
         F.count_if(F.col(flag)).alias("anomaly_count"),
         (share(F.col(flag)) * 100).alias("anomaly_rate"),
         devices.alias("active_devices"),
-        F.avg("temperature").alias("avg_temperature"))
+        F.avg(known("temperature")).alias("avg_temperature"))
 
 
 def device_stats(df: DataFrame, digits: int = 2, flag: str = FLAG) -> DataFrame:
@@ -82,7 +83,7 @@ def device_stats(df: DataFrame, digits: int = 2, flag: str = FLAG) -> DataFrame:
     measures = []
     for c in ("temperature", "vibration"):
         for name, f in (("mean", F.avg), ("std", F.stddev_samp), ("min", F.min), ("max", F.max)):
-            measures.append(F.round(f(c), digits).alias(f"{c}_{name}"))
+            measures.append(F.round(f(known(c)), digits).alias(f"{c}_{name}"))
     return df.groupBy("device_id").agg(*measures, F.count_if(F.col(flag)).alias(f"{flag}_sum"))
 
 
@@ -104,9 +105,9 @@ def temp_vibration_relation(df: DataFrame, flag: str = FLAG) -> DataFrame:
     """D7. Per class: readings, correlation of temperature and vibration, their means."""
     return df.groupBy(flag).agg(
         F.count(F.lit(1)).alias("readings"),
-        F.corr("temperature", "vibration").alias("correlation"),
-        F.avg("temperature").alias("avg_temperature"),
-        F.avg("vibration").alias("avg_vibration"))
+        F.corr(known("temperature"), known("vibration")).alias("correlation"),
+        F.avg(known("temperature")).alias("avg_temperature"),
+        F.avg(known("vibration")).alias("avg_vibration"))
 
 
 def temp_vibration_grid(df: DataFrame, temperature_step: float = 5.0, vibration_step: float = 1.0,
@@ -114,8 +115,8 @@ def temp_vibration_grid(df: DataFrame, temperature_step: float = 5.0, vibration_
     """D7. The scatter as counts on a grid, so that its size does not grow with the readings."""
     return df.groupBy(
         flag,
-        F.floor(F.col("temperature") / F.lit(temperature_step)).alias("temperature_cell"),
-        F.floor(F.col("vibration") / F.lit(vibration_step)).alias("vibration_cell"),
+        F.floor(known("temperature") / F.lit(temperature_step)).alias("temperature_cell"),
+        F.floor(known("vibration") / F.lit(vibration_step)).alias("vibration_cell"),
     ).agg(F.count(F.lit(1)).alias("readings"))
 
 

@@ -3,18 +3,31 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+TASKS, TASK_ROWS = 8, 4_000_000
 
 
 def cut(df: DataFrame) -> DataFrame:
     """A reliable checkpoint in the folder named by spark.checkpoint.dir. The blocks do not depend on
     executors, and later jobs read the written rows instead of computing them again. Where no folder
     is named, a local session uses a temporary one; a cluster must name one."""
-    context = df.sparkSession.sparkContext
+    _folder(df.sparkSession)
+    return df.checkpoint()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder's path below the checkpoint folder, which all executors share."""
+    return f"{_folder(spark)}/{uuid.uuid4().hex}"
+
+
+def _folder(spark: SparkSession) -> str:
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = context.getConf().get("spark.checkpoint.dir")
         if folder is None:
@@ -22,7 +35,7 @@ def cut(df: DataFrame) -> DataFrame:
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="checkpoint-")
         context.setCheckpointDir(folder)
-    return df.checkpoint()
+    return context.getCheckpointDir()
 
 
 @contextmanager
@@ -36,7 +49,7 @@ def kept(df: DataFrame) -> Iterator[DataFrame]:
         df.unpersist()
 
 
-def spread(df: DataFrame, rows: int, few: int = 10_000_000) -> DataFrame:
-    """A table of few rows often sits in one file and would keep one core busy with Python work; it is
-    dealt out to all of them. Larger tables already have many partitions and stay as they are."""
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if rows <= few else df
+def spread(df: DataFrame, rows: int) -> DataFrame:
+    """The rows in even partitions of at most TASK_ROWS, and at least TASKS of them: a table often sits in few
+    files, which would keep few cores busy with Python work."""
+    return df.repartition(max(TASKS, -(-rows // TASK_ROWS)))
