@@ -59,10 +59,14 @@ def query(fn, digits: int = 6):
 
 # --- 2.1 and 2.2 ------------------------------------------------------------------------------------
 
+def places(location):
+    return [F.try_variant_get(location, f"$.{c}", kind).alias(c)
+            for c, kind in (("building", "string"), ("floor", "bigint"), ("room", "string"))]
+
+
 def parsed(spark, sf):
     out = ntz(P.parse_messages(X.raw_messages(spark, sf)), "timestamp")
-    return out.select("*", F.col("location.building").alias("building"),
-                      F.col("location.floor").alias("floor"), F.col("location.room").alias("room"))
+    return out.select("*", *places("location"))
 
 
 RECORD = ("device_id", "timestamp", "timestamp_text", "device_type", "building", "floor", "room",
@@ -82,7 +86,7 @@ def b10(spark, sf):
     return R.format_alert(ruled_messages(spark, sf)).select(
         "alert_id", "device_id", "timestamp", "severity", "message", "details.temperature",
         "details.vibration", joined("details.reasons").alias("reasons"),
-        F.col("details.location.building").alias("building"))
+        places("details.location")[0])
 
 
 def rule_scores(spark, sf):
@@ -370,7 +374,7 @@ def inbox(spark, sf):
 
 def a2(spark, sf):
     records = P.parse_messages(M.message_batch(spark, inbox(spark, sf)))
-    return ntz(records, "timestamp").select("*", *[F.col(f"location.{c}").alias(c) for c in ("building", "floor", "room")]) \
+    return ntz(records, "timestamp").select("*", *places("location")) \
         .select(*RECORD, "reject_reason")
 
 
@@ -404,7 +408,7 @@ def alerts_read(spark, folder):
             f"temperature: double, vibration: double, reasons: array<string>, location: {S.LOCATION}>")
     return spark.read.schema(kind).json(folder).select(
         "alert_id", "device_id", "timestamp", "severity", "message", "details.temperature", "details.vibration",
-        joined("details.reasons").alias("reasons"), F.col("details.location.building").alias("building"))
+        joined("details.reasons").alias("reasons"), places("details.location")[0])
 
 
 def a8(spark, sf):

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from kelvibra.functions.expressions import eps_ratio, interaction_features, known, safe_ratio
 from kelvibra.operators.scans import scan_range
-from kelvibra.plans.slices import (KEYS, MAX_ROWS, ORDER, cold_rows, hot_series, in_slices,
+from kelvibra.plans.slices import (KEYS, MAX_ROWS, ORDER, SERIES, cold_rows, hot_series, in_slices,
                                     slice_starts, windowed)
 
 VALUES = ("temperature", "vibration")
@@ -152,16 +152,16 @@ def fill_gaps(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = KEYS,
     cold = fill(cold_rows(df, hot, keys), keys)
     rows = in_slices(df, hot, keys, order, max_rows)
     placed = {c: F.when(known(c).isNotNull(), F.struct(*order, F.col(c).alias("_v"))) for c in cols}
-    ends = rows.groupBy(*keys, "_slice").agg(
+    ends = rows.groupBy(SERIES, "_slice").agg(
         *[F.min(v).alias(f"_first_{c}") for c, v in placed.items()],
         *[F.max(v).alias(f"_last_{c}") for c, v in placed.items()])
     others = (Window.unboundedPreceding, -1)
     up, down = both(["_slice"])
     carried = ends.select(
-        *keys, "_slice",
-        *[latest(F.col(f"_first_{c}._v"), keys, down, others).alias(f"_after_{c}") for c in cols],
-        *[latest(F.col(f"_last_{c}._v"), keys, up, others).alias(f"_before_{c}") for c in cols])
-    filled = fill(rows.join(carried, [*keys, "_slice"]), [*keys, "_slice"], carried=True)
+        SERIES, "_slice",
+        *[latest(F.col(f"_first_{c}._v"), [SERIES], down, others).alias(f"_after_{c}") for c in cols],
+        *[latest(F.col(f"_last_{c}._v"), [SERIES], up, others).alias(f"_before_{c}") for c in cols])
+    filled = fill(rows.join(carried, [SERIES, "_slice"]), [SERIES, "_slice"], carried=True)
     return cold.unionByName(filled.select(*cold.columns))
 
 
@@ -222,8 +222,8 @@ def ordered_split(df: DataFrame, share: float = 0.8, keys: Sequence[str] = KEYS,
     if hot is None:
         return plain(df)
     rows = in_slices(df, hot, keys, order, max_rows)
-    rows = rows.join(slice_starts(rows, keys), [*keys, "_slice"]).join(hot.keys, keys)
-    place = F.row_number().over(Window.partitionBy(*keys, "_slice").orderBy(*order)) + F.col("_start")
+    rows = rows.join(slice_starts(rows), [SERIES, "_slice"]).join(hot.keys, SERIES)
+    place = F.row_number().over(Window.partitionBy(SERIES, "_slice").orderBy(*order)) + F.col("_start")
     hot_out = rows.withColumn("is_train", mark(place, F.col("_n")))
     cold = plain(cold_rows(df, hot, keys))
     return cold.unionByName(hot_out.select(*cold.columns))

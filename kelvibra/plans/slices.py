@@ -24,11 +24,12 @@ MAX_ROWS = 2_000_000
 
 KEYS = ("device_id",)
 ORDER = ("timestamp", "reading_id")
+SERIES = "_series"  # the keys as one struct, which joins even where a key is null
 
 
 @dataclass(frozen=True)
 class HotSeries:
-    """Series with more than max_rows rows: their keys and row count `_n`, and how many rows in all."""
+    """Series with more than max_rows rows: `_series` and row count `_n`, and how many rows in all."""
     keys: DataFrame
     rows: int
 
@@ -36,9 +37,9 @@ class HotSeries:
 def hot_series(df: DataFrame, keys: Sequence[str], max_rows: int) -> HotSeries | None:
     """One count per series; None if none is hot. At most rows / max_rows series are. Up to FEW_ROWS of
     them become a local table to broadcast; a longer list stays distributed and is joined as Spark
-    sees fit. A null key is left to the plain path, as joins would not match it."""
-    counts = df.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.filter(F.col("_n") > max_rows)
+    sees fit. The rows with a null key are a series like others."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.filter(F.col("_n") > max_rows).select(F.struct(*keys).alias(SERIES), "_n")
     found = hot.take(FEW_ROWS + 1)
     if not found:
         return None
@@ -50,23 +51,24 @@ def hot_series(df: DataFrame, keys: Sequence[str], max_rows: int) -> HotSeries |
 
 
 def cold_rows(df: DataFrame, hot: HotSeries, keys: Sequence[str]) -> DataFrame:
-    return df.join(hot.keys.select(*keys), list(keys), "left_anti")
+    rows = df.withColumn(SERIES, F.struct(*keys))
+    return rows.join(hot.keys.select(SERIES), SERIES, "left_anti").drop(SERIES)
 
 
 def in_slices(df: DataFrame, hot: HotSeries, keys: Sequence[str], order: Sequence[str],
               max_rows: int) -> DataFrame:
-    """Rows of the hot series with their slice, ascending along each series."""
-    rows = df.join(hot.keys.select(*keys), list(keys), "left_semi")
+    """Rows of the hot series with `_series` and their slice, which ascends along each series."""
+    rows = df.withColumn(SERIES, F.struct(*keys)).join(hot.keys.select(SERIES), SERIES, "left_semi")
     slices = math.ceil(hot.rows / max_rows)
-    return cut(rows.repartitionByRange(slices, *keys, *order)
+    return cut(rows.repartitionByRange(slices, SERIES, *order)
                .withColumn("_slice", F.spark_partition_id()))
 
 
-def slice_starts(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+def slice_starts(rows: DataFrame) -> DataFrame:
     """Per series and slice: `_start`, the rows of the series before it."""
-    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = rows.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_size"))
-    return sizes.select(*keys, "_slice", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    before = Window.partitionBy(SERIES).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy(SERIES, "_slice").agg(F.count(F.lit(1)).alias("_size"))
+    return sizes.select(SERIES, "_slice", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
 
 
 def lead_in(rows: DataFrame, keys: Sequence[str], order: Sequence[str], lookback: int) -> DataFrame:
@@ -99,8 +101,8 @@ def windowed(df: DataFrame, build: Callable[[DataFrame, WindowSpec], DataFrame],
     if hot is None:
         return build(df, plain)
     own = in_slices(df, hot, keys, order, max_rows)
-    lead = lead_in(own, keys, order, lookback)
+    lead = lead_in(own, [SERIES], order, lookback)
     rows = own.withColumn("_lead", F.lit(False)).unionByName(lead.withColumn("_lead", F.lit(True)))
-    sliced = build(rows, Window.partitionBy(*keys, "_slice").orderBy(*order))
+    sliced = build(rows, Window.partitionBy(SERIES, "_slice").orderBy(*order))
     cold = build(cold_rows(df, hot, keys), plain)
-    return cold.unionByName(sliced.filter(~F.col("_lead")).drop("_slice", "_lead"))
+    return cold.unionByName(sliced.filter(~F.col("_lead")).drop(SERIES, "_slice", "_lead"))

@@ -71,7 +71,8 @@ EPSILON = 1e-8
 
 REQUIRED_FIELDS = ("device_id", "timestamp", "temperature", "vibration")
 
-LOCATION = "struct<building: string, floor: bigint, room: string>"
+# any JSON: what a device adds to its location is stored as well
+LOCATION = "variant"
 
 MESSAGE_SCHEMA = (
     "device_id string, timestamp string, device_type string, "

@@ -6,6 +6,7 @@ from kelvibra import fixtures
 from kelvibra.operators import parsing as P
 from kelvibra.operators.rules import apply_rules, format_alert, format_reading
 from kelvibra.settings import READING_COLUMNS
+from kelvibra.sources.messages import alert_values
 
 GOOD = {"device_id": "sensor_0001", "timestamp": "2024-05-01T10:00:00.250000", "device_type": "hvac_monitor",
         "location": {"building": "Building_A", "floor": 3, "room": "Room_101"},
@@ -40,7 +41,7 @@ def test_reject_reasons(spark, message, reason):
 
 def test_record(spark):
     row = P.validate_required(parse(spark, GOOD)).first()
-    assert row["location"]["floor"] == 3
+    assert row["location"].toPython()["floor"] == 3
     assert row["is_anomaly"] is True
     assert row["timestamp"].microsecond == 250000
 
@@ -70,7 +71,7 @@ def test_alert(spark):
     alerts = format_alert(apply_rules(P.validate_required(parse(spark, GOOD, calm)))).collect()
     assert len(alerts) == 1
     assert alerts[0]["alert_id"] == "sensor_0001_2024-05-01T10:00:00.250000"
-    assert alerts[0]["details"]["location"]["room"] == "Room_101"
+    assert alerts[0]["details"]["location"].toPython()["room"] == "Room_101"
 
 
 def test_nothing_is_lost(spark, sf):
@@ -86,3 +87,13 @@ def test_wide_messages(spark):
         [('{"device_id": "a", "timestamp": "2024-01-01T00:00:00", "temperature": 70}',), ("{",)], "raw string")).collect()
     assert [r["reject_reason"] for r in rows] == [None, "malformed_json"]
     assert rows[0]["temperature"] == 70.0
+
+
+def test_whole_location_is_stored(spark):
+    message = {"device_id": "d", "timestamp": "2024-01-01T00:00:00", "device_type": "hvac_monitor",
+               "location": {"building": "B", "floor": "G", "room": "R", "zone": {"id": 7}},
+               "sensor_data": {"temperature": 50.0, "vibration": 1.0}}
+    rows = apply_rules(P.validate_required(parse(spark, message)))
+    assert json.loads(format_reading(rows).first()["location"]) == message["location"]
+    alert = json.loads(alert_values(format_alert(rows)).first()["value"])
+    assert alert["details"]["location"] == message["location"]

@@ -45,6 +45,13 @@ def test_slices_change_nothing(series, name, max_rows):
     same_rows(op(series, max_rows=max_rows), op(series))
 
 
+@pytest.mark.parametrize("name", OPERATORS)
+def test_rows_without_device_are_a_series_that_is_cut_too(series, name):
+    rows = series.withColumn("device_id", F.when(F.col("device_id") != "hot", F.col("device_id")))
+    assert hot_series(rows, ["device_id"], 150).rows == rows.filter("device_id is null").count()
+    same_rows(OPERATORS[name](rows, max_rows=57), OPERATORS[name](rows))
+
+
 def test_slices_are_bounded_and_balanced(series):
     hot = hot_series(series, ["device_id"], 100)
     rows = in_slices(series, hot, ["device_id"], ["timestamp", "reading_id"], 40)
