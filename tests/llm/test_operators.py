@@ -169,6 +169,19 @@ def test_filter_has_no_level_too_low(spark):
     assert (built.levels(numbers(8, 5_000)) > 0).mean() < 0.1
 
 
+def test_filter_grows_with_its_entries(spark):
+    rows = spark.range(1 << 17).selectExpr("xxhash64(id) AS gram", "1L AS n")
+    assert scoring.needed(rows) == 8 and scoring.needed(rows.union(rows.limit(1))) == 16
+    assert scoring.needed(rows.withColumn("n", rows["n"] * 8)) == 32
+
+
+def test_scoring_is_the_same_when_the_filter_is_not_sent(spark, sf, docs):
+    for rows in (docs.select("doc_id", "text"), spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")):
+        trained = rows.filter("doc_id % 7 != 2")
+        sent, kept = (sorted(map(tuple, scoring.score(rows, trained, max_bits=m, head=50, lot=2).collect()), key=str) for m in (1 << 40, 0))
+        assert sent == kept
+
+
 def test_sharding(spark):
     rows = [(i if i % 9 else None, None if i % 11 == 0 else f"text {i % 50}", "en", (None, "a", "b", "a", "a")[i % 5], 1)
             for i in range(1_003)]
