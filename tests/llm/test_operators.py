@@ -239,6 +239,20 @@ def test_licenses(docs, spark):
     assert licenses.scan(docs, {"none": ""}).count() == 0
 
 
+def test_licenses_of_few_words_and_other_versions(spark):
+    two = "Our work is licensed under the GNU General Public License, version 2."
+    texts = [(1, f"{BASE} All rights reserved. {BASE}"), (2, "ALL RIGHTS RESERVED"), (3, "all rights are reserved"),
+             (4, f"{BASE} all rights reserved"), (5, f"{BASE} This work is licensed under the GNU General Public License, version 2."),
+             (6, f"This work is licensed under the GNU General Public License, version 3. {BASE}"), (7, two), (8, "two words"),
+             (9, f"{BASE} {S.LICENSES['ISC']}"), (10, "one two three two words"),
+             (11, S.LICENSES["LGPL notice"])]
+    templates = S.LICENSES | {"two": "two words"}
+    found = licenses.scan(spark.createDataFrame(texts, "doc_id long, text string"), templates).collect()
+    assert {(r["id"], r["license"]) for r in found} == {
+        (1, "All rights reserved"), (2, "All rights reserved"), (4, "All rights reserved"), (5, "GPL-2.0"), (6, "GPL-3.0"),
+        (7, "GPL-2.0"), (8, "two"), (9, "ISC"), (10, "two"), (11, "LGPL notice")}
+
+
 def test_urls(spark):
     keys = spark.createDataFrame([(f"k{i}",) for i in range(4_000)] + [(None,), ("k1",)], "key string")
     listed = keys.filter("cast(substr(key, 2) as int) % 3 = 0")
