@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from kelvibra.llm import decontamination, exact, language, licenses, minhash, pieces, quality, scoring, sharding, urls
+from kelvibra.llm import decontamination, exact, language, licenses, minhash, phrases, pieces, quality, scoring, sharding, urls
 from kelvibra.llm import settings as S
 from kelvibra.llm.stores import read_table as table
 from kelvibra.llm.stores import remainder, stored
@@ -73,6 +73,10 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
                        language.predict(profiles).alias("_p")).select("doc_id", "held_out", "_p.*")
 
 
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf, "documents"))
+
+
 def build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_network": op1,
@@ -85,5 +89,6 @@ def build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_license_bands": op8,
         "op9_url_cascade": op9,
         "op10_rank_order_profiles": op10,
+        "op11_prefix_free_phrases": op11,
         "pipeline": corpus_pipeline.run,
     }
