@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from kelvibra.llm import decontamination, exact, language, licenses, minhash, phrases, pieces, quality, scoring, sharding, urls
+from kelvibra.llm import (decontamination, exact, gray, language, licenses, minhash, phrases, pieces, quality, scoring,
+                          sharding, turns, urls)
 from kelvibra.llm import settings as S
 from kelvibra.llm.stores import read_table as table
 from kelvibra.llm.stores import remainder, stored
@@ -77,6 +78,14 @@ def op11(spark: SparkSession, sf: str) -> DataFrame:
     return phrases.collocations(table(spark, sf, "documents"))
 
 
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    return gray.find_near(table(spark, sf, "documents")).select(F.col("id").alias("doc_id"), "fingerprint", "component_id")
+
+
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    return turns.repair(turns.damaged(table(spark, sf, "conversations"))).withColumnRenamed("conv", "conv_id")
+
+
 def build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_network": op1,
@@ -90,5 +99,7 @@ def build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_url_cascade": op9,
         "op10_rank_order_profiles": op10,
         "op11_prefix_free_phrases": op11,
+        "op12_gray_index": op12,
+        "op13_turn_alignment": op13,
         "pipeline": corpus_pipeline.run,
     }
