@@ -74,14 +74,14 @@ def facts(rows: DataFrame) -> DataFrame:
         F.when(F.col("role") == "", " ").otherwise(F.substring("role", 1, 1)).alias("initial"),
         (trimmed == "").alias("blank"), (~F.right(trimmed, F.lit(1)).isin(".", "!", "?")).alias("cut")))
     key = F.struct("conv", "role", "digest")
-    place = F.struct(F.col("turn").isNotNull().alias("known"), "turn")
-    said = ~F.col("dropped") & ~F.col("blank")
-    again = narrow.filter(said).groupBy(key.alias("_k")).agg(F.count(F.lit(1)).alias("_n"), F.min(place).alias("_first")) \
+    again = narrow.filter("NOT dropped AND NOT blank").groupBy(key.alias("_k")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("turn").alias("_first"), F.bool_or(F.col("turn").isNull()).alias("_unknown")) \
         .filter("_n > 1")
-    marked = narrow.withColumn("_k", F.when(said, key)).join(again, "_k", "left")
+    marked = narrow.withColumn("_k", key).join(again, "_k", "left")
+    unknown = F.col("turn").isNull()  # stands before all others
     return marked.select(
-        *narrow.columns, F.coalesce(place > F.col("_first"), F.lit(False)).alias("later"),
-        F.coalesce(place.eqNullSafe(F.col("_first")), F.lit(False)).alias("twin"))
+        *narrow.columns, F.coalesce(~unknown & (F.col("_unknown") | (F.col("turn") > F.col("_first"))), F.lit(False)).alias("later"),
+        F.coalesce(F.when(F.col("_unknown"), unknown).otherwise(F.col("turn") == F.col("_first")), F.lit(False)).alias("twin"))
 
 
 @dataclass
