@@ -76,11 +76,15 @@ def test_a_full_filter_changes_nothing(spark, sf, monkeypatch):
 
 def test_chunks_overlap_and_own_each_word_once():
     text = " ".join(f"w{i % 37}" for i in range(500)).encode()
-    found = list(phrases.chunks([b"a b", text, b"", b"c. d"], 4))
+    found = list(phrases.chunks([b"a b", text, b"", b" .c. ,; d! "], 1 << 30))
+    assert [(r, o, c) for r, o, c in found if r != 1] == [(0, 2, b"a b"), (3, 2, b"c\nd")]
+    assert [(o, c) for r, o, c in found if r == 1] == [(500, text)]
+    found = list(phrases.chunks([b"a b", text], 4))
     assert sum(own for row, own, _ in found if row == 1) == 500
     long = [(own, c.split()) for row, own, c in found if row == 1]
     assert all(len(c) == own + 4 for own, c in long[:-4])
-    assert [(r, o, c) for r, o, c in found if r != 1] == [(0, 2, b"a b"), (3, 1, b"c"), (3, 1, b"d")]
+    assert all(c == text.split()[at:at + 4 + own] for at, (own, c) in zip(
+        [sum(o for o, _ in long[:i]) for i in range(len(long))], long))
     assert len({c for _, c in map(lambda x: (x[0], tuple(x[1])), long)}) < len(long)  # equal passages, equal chunks
 
 
