@@ -316,7 +316,8 @@ REPORT_BEST = ", ".join(
 
 
 def build() -> dict[str, str]:
-    found = _plain()
+    from checks import learned  # which uses the tables above
+    found = _plain() | learned.sql()
     # written and read back, or run as a stream: the rows are the same
     same = {"A2_message_batch": "B1_parse_messages", "A3_append_readings": "B9_format_reading",
             "A6_publish_alerts": "B10_format_alert", "A9_append_metrics": "D9_classification_metrics",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from checks import learned
 from kelvibra import fixtures as X
 from kelvibra import settings as S
 from kelvibra.functions.expressions import (calendar_features, interaction_features, iso_text, known,
@@ -636,4 +637,4 @@ def build() -> dict:
         "S5_alert_lines": lambda s, f: alert_lines(X.flagged(s, f)).select(
             "level", "device_id", "timestamp", "anomaly_score"),
     }
-    return {name: query(fn, DIGITS.get(name, 6)) for name, fn in q.items()}
+    return {name: query(fn, DIGITS.get(name, 6)) for name, fn in (q | learned.build()).items()}
