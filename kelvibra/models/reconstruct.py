@@ -1,8 +1,8 @@
-"""Reconstruction-error detectors on principal components (J11, J14).
+"""Reconstruction-error detectors (J11, J14).
 
-Both stand in for neural autoencoders: rows are projected on the leading components and scored by what
+J11 stands in for a neural autoencoder: rows are projected on the leading components and scored by what
 the projection loses. The components are orthonormal, so the loss of a centred row is its squared
-length less that of its projection, and no row is actually rebuilt.
+length less that of its projection, and no row is actually rebuilt. J14's models are in `sequences.py`.
 """
 
 from __future__ import annotations
@@ -11,15 +11,15 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kelvibra import settings as S
 from kelvibra.functions.expressions import known, severity_ladder
 from kelvibra.functions.quantiles import exact_quantiles
-from kelvibra.operators.features import scale_minmax, with_sequences
-from kelvibra.operators.scans import scan_range
+from kelvibra.models.sequences import fit_components, fit_network, fit_scale, with_lags
+from kelvibra.operators.scans import moment_of, scan_range
 from kelvibra.plans.lineage import cut, kept
 
 
@@ -65,38 +65,19 @@ def autoencoder_anomalies(model: PipelineModel, wide: DataFrame, as_of=None, day
         F.lit(S.METHODS["reconstruction"]).alias("detection_method"))
 
 
-def sequence_vectors(df: DataFrame, cols: Sequence[str], n: int) -> DataFrame:
-    """Min-max scaled n-row sequences of each device as flat vectors, on the sequence's last row. Rows
-    without a full sequence get zeros and is_full = false. A missing reading counts as the least."""
-    scaled = scale_minmax(df, cols).fillna(0.0, [f"{c}_scaled" for c in cols])
-    rows = with_sequences(scaled, [f"{c}_scaled" for c in cols], n)
-    full = F.size("sequence") == n
-    blank = F.array_repeat(F.lit(0.0), n * len(cols))
-    flat = F.when(full, F.flatten("sequence")).otherwise(blank)
-    return rows.select(*df.columns, full.alias("is_full"), array_to_vector(flat).alias("_flat"))
-
-
-def fit_sequences(vectors: DataFrame, k: int = 4) -> PipelineModel:
-    stages = [
-        StandardScaler(inputCol="_flat", outputCol="_centred", withMean=True, withStd=False),
-        PCA(inputCol="_centred", outputCol="_parts", k=k),
-    ]
-    with kept(vectors.select("_flat")) as rows:
-        return Pipeline(stages=stages).fit(rows)
-
-
 def sequence_anomalies(df: DataFrame, cols: Sequence[str] = ("temperature", "vibration"), n: int = 10,
-                       pct: float = 0.95, k: int = 4, share: float = 0.8,
-                       model: PipelineModel | None = None) -> DataFrame:
+                       pct: float = 0.95, k: int = 4, share: float = 0.8, model=None, kind: str = "components") -> DataFrame:
     """J14. sequence_error and sequence_anomaly of every row: 1 on the last row of a sequence whose error
     exceeds the batch's `pct` quantile, 0 elsewhere and on each device's first n - 1 rows. Without a
-    given model the sequences of the first `share` of the readings in time train it."""
-    vectors = sequence_vectors(df, cols, n)
+    given model the sequences of the first `share` of the readings in time train one: `components` or a `network`."""
     if model is None:
-        until = df.agg(F.percentile_approx("timestamp", share, 10_000).alias("t")).scalar()
-        model = fit_sequences(vectors.filter(F.col("is_full") & (F.col("timestamp") <= until)), k)
-    error = F.when(F.col("is_full"), _loss(n * len(cols)))
-    scored = cut(model.transform(vectors).select(*df.columns, error.alias("sequence_error")))
+        scale, until = fit_scale(df, cols, share)
+        lagged = with_lags(df, scale, n)
+        train = lagged.filter(F.col("timestamp") <= moment_of(df, until, "timestamp"))
+        model = fit_components(train, scale, n, k) if kind == "components" else fit_network(train, scale, n, k)
+    else:
+        lagged = with_lags(df, model.scale, model.n)
+    scored = cut(model.score(lagged).select(*df.columns, "sequence_error"))
     limit = exact_quantiles(scored, "sequence_error", [pct])[0]
     flag = F.coalesce((F.col("sequence_error") > F.lit(limit)).cast("int"), F.lit(0))
     return scored.withColumn("sequence_anomaly", flag)

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from kelvibra.models.boundary import OneClassBoundary
 from kelvibra.models.isolation import IsolationForest
+from kelvibra.models.sequences import SequenceComponents, SequenceNetwork
 
-KINDS = {"IsolationForest": IsolationForest, "OneClassBoundary": OneClassBoundary}
+KINDS = {kind.__name__: kind for kind in (IsolationForest, OneClassBoundary, SequenceComponents, SequenceNetwork)}
 
 
 class ModelRegistry:

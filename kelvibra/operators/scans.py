@@ -19,8 +19,10 @@ def range_start(df: DataFrame, interval: str, as_of=None, timestamp: str = "time
 
 
 def moment_of(df: DataFrame, as_of, timestamp: str) -> Column:
-    """A datetime as a constant of the timestamp's type; columns stay as they are."""
+    """A datetime, or none, as a constant of the timestamp's type; columns stay as they are."""
     kind = dict(df.dtypes)[timestamp]
+    if as_of is None:
+        return F.lit(None).cast(kind)
     return F.lit(as_of.isoformat(sep=" ")).cast(kind) if isinstance(as_of, dt.datetime) else as_of
 
 
