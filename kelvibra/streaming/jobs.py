@@ -12,6 +12,7 @@ from kelvibra.operators.parsing import (parse_messages, parse_wide_messages, qua
 from kelvibra.operators.rules import apply_rules, format_alert, format_reading, rule_score
 from kelvibra.sources.messages import alert_values
 from kelvibra.sources.tables import query_name, write_once
+from kelvibra.streaming.redelivery import Redelivery, deliver
 
 
 def _start(stream: DataFrame, work, checkpoint: str, trigger: dict) -> StreamingQuery:
@@ -19,20 +20,45 @@ def _start(stream: DataFrame, work, checkpoint: str, trigger: dict) -> Streaming
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
+def _start_delivered(stream: DataFrame, work, checkpoint: str, trigger: dict) -> StreamingQuery:
+    """A query with redelivery goes on until it is stopped: its timers need batches without data, of which a query of
+    what is available now would never see the last."""
+    if "availableNow" in trigger or "once" in trigger:
+        raise ValueError("redelivery needs a query that goes on, such as processingTime='10 seconds'")
+    return _start(stream, work, checkpoint, trigger or {"processingTime": "10 seconds"})
+
+
 def run_detection(messages: DataFrame, table: str, alerts: str, rejects: str, checkpoint: str,
-                  **trigger) -> StreamingQuery:
-    """S1. Parse, rules, then readings, alerts and rejects from one parse of each batch."""
+                  redelivery: Redelivery | None = None, **trigger) -> StreamingQuery:
+    """S1. Parse, rules, then readings, alerts and rejects from one parse of each batch. With `redelivery` (S4) copies
+    are dropped, failing messages come again, and dead letters and late messages are rejects with that as their reason."""
     def work(batch: DataFrame, batch_id: int) -> None:
         query = query_name(batch.sparkSession, checkpoint)
-        parsed = parse_messages(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        parsed = parse_messages(delivered(batch)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             ruled = apply_rules(validate_required(parsed))
             write_once(format_reading(ruled), table, batch_id, clustered=True, query=query)
             write_once(alert_values(format_alert(ruled)), alerts, batch_id, fmt="text", query=query)
-            write_once(quarantine(parsed), rejects, batch_id, query=query)
+            write_once(quarantine(parsed).unionByName(undelivered(batch)), rejects, batch_id, query=query)
         finally:
             parsed.unpersist()
-    return _start(messages, work, checkpoint, trigger)
+            batch.unpersist()
+    if redelivery is None:
+        return _start(messages, work, checkpoint, trigger)
+    return _start_delivered(deliver(messages, redelivery), work, checkpoint, trigger)
+
+
+def delivered(batch: DataFrame) -> DataFrame:
+    """The messages to work on: all, or those that redelivery gave out as delivered."""
+    return batch.filter("outcome = 'delivered'").select("raw") if "outcome" in batch.columns else batch
+
+
+def undelivered(batch: DataFrame) -> DataFrame:
+    """The others, as rejects."""
+    if "outcome" not in batch.columns:
+        return batch.select("raw", F.lit("").alias("reject_reason")).limit(0)
+    return batch.filter("outcome <> 'delivered'").select("raw", F.col("outcome").alias("reject_reason"))
 
 
 def streaming_row_sink(rows: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
@@ -42,14 +68,28 @@ def streaming_row_sink(rows: DataFrame, path: str, checkpoint: str, **trigger) -
     return _start(rows, work, checkpoint, trigger)
 
 
-def consume_and_score(messages: DataFrame, table: str, checkpoint: str, **trigger) -> StreamingQuery:
+def consume_and_score(messages: DataFrame, table: str, checkpoint: str, redelivery: Redelivery | None = None,
+                      **trigger) -> StreamingQuery:
     """S2. Wide messages, rule score, table. Unreadable messages are kept with their reason and no
-    score."""
-    parsed = parse_wide_messages(messages)
-    scored = rule_score(parsed).withColumn("processed_at", F.current_timestamp())
+    score. With `redelivery` (S4) copies are dropped and failing messages come again; dead letters and late messages are
+    kept as unreadable ones are."""
+    if redelivery is None:
+        return streaming_row_sink(_wide_scores(messages), table, checkpoint, **trigger)
+
+    def work(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            rows = _wide_scores(delivered(batch)).unionByName(undelivered(batch), allowMissingColumns=True)
+            write_once(rows, table, batch_id, query=query_name(batch.sparkSession, checkpoint))
+        finally:
+            batch.unpersist()
+    return _start_delivered(deliver(messages, redelivery), work, checkpoint, trigger)
+
+
+def _wide_scores(messages: DataFrame) -> DataFrame:
+    scored = rule_score(parse_wide_messages(messages)).withColumn("processed_at", F.current_timestamp())
     usable = F.col("reject_reason").isNull()
-    scored = scored.withColumns({c: F.when(usable, F.col(c)) for c in ("anomaly_score", "rule_based_anomaly")})
-    return streaming_row_sink(scored, table, checkpoint, **trigger)
+    return scored.withColumns({c: F.when(usable, F.col(c)) for c in ("anomaly_score", "rule_based_anomaly")})
 
 
 def anomaly_subscription(rows: DataFrame, flag: str = "is_anomaly") -> DataFrame:
