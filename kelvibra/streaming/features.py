@@ -48,7 +48,7 @@ def _frames(kept: list[float], new: np.ndarray, in_order: bool) -> np.ndarray:
     return np.column_stack([np.tile(lead, (len(new), 1)), new])
 
 
-def _score(rows: pd.DataFrame, kept: dict[str, list[float]], in_order: bool) -> pd.DataFrame:
+def score_frames(rows: pd.DataFrame, kept: dict[str, list[float]], in_order: bool) -> pd.DataFrame:
     out = rows[["device_id", "timestamp", "temperature", "vibration"]].copy()
     for short, name in (("temp", "temperature"), ("vibration", "vibration")):
         frames = _frames(kept[name], rows[name].to_numpy(dtype=float), in_order)
@@ -67,10 +67,10 @@ def _update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> I
     if newest is not None:
         late = rows["timestamp"] <= pd.Timestamp(newest)
         if late.any():
-            yield _score(rows[late], kept, in_order=False)
+            yield score_frames(rows[late], kept, in_order=False)
         rows = rows[~late]
     if len(rows):
-        yield _score(rows, kept, in_order=True)
+        yield score_frames(rows, kept, in_order=True)
         for c in kept:
             kept[c] = [float(x) for x in (kept[c] + rows[c].tolist())[-KEPT:]]
         state.update((rows["timestamp"].iloc[-1].to_pydatetime(), kept["temperature"], kept["vibration"]))
