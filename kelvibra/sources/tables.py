@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kelvibra import settings as S
+from kelvibra.sources.summaries import append_summaries
 
 CLUSTERING = ("device_id", "device_type")
 ROWS_PER_FILE = 5_000_000
@@ -25,12 +26,15 @@ def partition_and_cluster(df: DataFrame, path: str, mode: str = "append",
      .partitionBy("event_date").parquet(path))
 
 
-def append_readings(readings: DataFrame, path: str) -> None:
-    """A3. Appends stored readings (B9's columns); the table is created on the first call."""
+def append_readings(readings: DataFrame, path: str, summaries: str | None = None) -> None:
+    """A3. Appends stored readings (B9's columns); the table is created on the first call. With a path for summaries
+    the batch's days are summarized there."""
     missing = set(S.READING_COLUMNS) - set(readings.columns)
     if missing:
         raise ValueError(f"columns missing: {sorted(missing)}")
     partition_and_cluster(readings.select(*S.READING_COLUMNS), path)
+    if summaries is not None:
+        append_summaries(readings, summaries)
 
 
 def conform(df: DataFrame) -> DataFrame:
