@@ -4,9 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.oracle import READINGS
+from checks.oracle import READINGS, RULED
 from kelvibra import fixtures as X
+from kelvibra.functions.expressions import known
+from kelvibra.models import sequences
 from kelvibra.models.autoregression import forecast_ahead
+from kelvibra.operators.scans import scan_range
+from kelvibra.plans.lineage import shared_folder
+from kelvibra.sources import refresh, summaries
+from kelvibra.sources.tables import partition_and_cluster
+from kelvibra.streaming import jobs
+from kelvibra.streaming.ordered import ordered_features
 
 HISTORY = 60
 
@@ -90,8 +98,110 @@ SELECT device_id, origin, hour_bucket, step, ar_order, round(predicted, 6) AS pr
 FROM valued WHERE device_id IN (SELECT {key} FROM readings GROUP BY ALL HAVING count(*) > {HISTORY})"""
 
 
+def _summarized(spark, sf):
+    """The flagged readings as a table written in two batches, and its summaries."""
+    rows = X.flagged(spark, sf).withColumn("vibration_level", F.col("vibration"))
+    folder = shared_folder(spark)
+    for part in (0, 1):
+        batch = rows.filter(F.col("reading_id") % 2 == part)
+        partition_and_cluster(batch, f"{folder}/table")
+        summaries.append_summaries(batch, f"{folder}/days")
+    return rows, summaries.read_summaries(spark, f"{folder}/days")
+
+
+def a4_days(spark, sf):
+    """What the lines of a day add up to."""
+    _, lines = _summarized(spark, sf)
+    days = lines.groupBy("event_date").agg(
+        F.sum("readings").alias("readings"), F.sum("anomalies").alias("anomalies"), F.min("first").alias("first"),
+        F.max("last").alias("last"), F.min("temperature_min").alias("least"), F.max("temperature_max").alias("most"),
+        (F.sum("temperature_sum") / F.sum("temperature_known")).alias("mean"))
+    return days.withColumn("event_date", F.col("event_date").cast("date"))
+
+
+def d4_days(spark, sf):
+    """D4 without reading readings; the number of devices within five in a hundred."""
+    rows, lines = _summarized(spark, sf)
+    devices = rows.agg(F.count_distinct("device_id").alias("n"))
+    return summaries.kpis_of(lines).withColumn(
+        "active_devices", F.abs(F.col("active_devices") / devices.select("n").scalar() - 1) < 0.05)
+
+
+def d3_days(spark, sf):
+    """Quantiles without reading readings: whether the share of readings up to each is that asked for, within four
+    standard errors."""
+    rows, lines = _summarized(spark, sf)
+    found = summaries.quantiles_of(lines, "temperature", (0.05, 0.5, 0.95, 0.99))
+    near = [(F.abs(F.avg((F.col("temperature") <= found.select(c).scalar()).cast("double")) - int(c[1:]) / 100)
+             < 4 * summaries.QUANTILE_ERROR + 0.001).alias(c) for c in found.columns]
+    return rows.agg(F.count("temperature").alias("readings"), *near)
+
+
+def a5_days(spark, sf):
+    """A5 with the newest time from the summaries."""
+    rows, lines = _summarized(spark, sf)
+    return scan_range(rows, "7 DAYS", summaries.newest(lines)).select("reading_id", "device_id", "timestamp")
+
+
+def a7_days(spark, sf):
+    """Counts by device and day, refreshed after an append that touches some days."""
+    rows, folder = X.flagged(spark, sf).select("reading_id", "device_id", "timestamp", "temperature"), shared_folder(spark)
+    late = (F.dayofmonth("timestamp") % 7 == 0) & (F.col("reading_id") % 2 == 0)
+    for part in (rows.filter(~late), rows.filter(late)):
+        partition_and_cluster(part, f"{folder}/table", cluster_by=("device_id",))
+        refresh.refresh_days(spark.read.parquet(f"{folder}/table"), f"{folder}/daily", lambda days: days.groupBy(
+            "device_id", "event_date").agg(F.count(F.lit(1)).alias("readings"), F.avg("temperature").alias("mean")))
+    return refresh.read_days(spark, f"{folder}/daily")
+
+
+def s6_ordered(spark, sf):
+    """The features of readings that come in no order: every batch has readings of all times. A last reading far ahead
+    lets the watermark pass all others."""
+    rows = X.readings(spark, sf).select("device_id", F.col("timestamp").cast("timestamp").alias("timestamp"), "temperature", "vibration")
+    folder = shared_folder(spark)
+    ahead = rows.agg(F.lit("ahead").alias("device_id"), (F.max("timestamp") + F.expr("INTERVAL 100 DAYS")).alias("timestamp"),
+                     F.lit(1.0).alias("temperature"), F.lit(1.0).alias("vibration"))
+    for part in (rows.filter(F.xxhash64("*") % 2 == 0), rows.filter(F.xxhash64("*") % 2 != 0), ahead):
+        part.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", "1").parquet(f"{folder}/in")
+    jobs.streaming_row_sink(ordered_features(stream, "60 days", width=86_400), f"{folder}/table", f"{folder}/state").awaitTermination()
+    out = spark.read.parquet(f"{folder}/table").drop("batch_id").withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+    return out.withColumns({c: known(c) for c, kind in out.dtypes if kind == "double"})
+
+
+def j14_moments(spark, sf):
+    """Mean and mean square of each place of all full sequences, from lagged sums."""
+    rows = X.readings(spark, sf).select("reading_id", "device_id", "timestamp", "temperature", "vibration")
+    scale, _ = sequences.fit_scale(rows)
+    found = sequences.moments(sequences.with_lags(rows, scale, 10), 10, 2)
+    lines = [(i // 2, ("temperature", "vibration")[i % 2], found.count, float(found.mean[i]),
+              float(found.products[i, i] / found.count), float(found.products[i, i % 2] / found.count)) for i in range(20)]
+    return spark.createDataFrame(lines, "place int, value string, sequences long, mean double, square double, with_first double")
+
+
+MOMENTS = READINGS + """,
+ends AS (SELECT min(temperature) AS t0, max(temperature) AS t1, min(vibration) AS v0, max(vibration) AS v1 FROM readings),
+scaled AS (SELECT device_id, (temperature - t0) / (t1 - t0) AS t, (vibration - v0) / (v1 - v0) AS v,
+    row_number() OVER (PARTITION BY device_id ORDER BY "timestamp", reading_id) AS p FROM readings, ends),
+places AS (
+  SELECT x.t, x.v, y.t AS t_first, y.v AS v_first, n.i AS place
+  FROM scaled AS last CROSS JOIN range(10) AS n(i)
+  JOIN scaled AS x ON x.device_id = last.device_id AND x.p = last.p - 9 + n.i
+  JOIN scaled AS y ON y.device_id = last.device_id AND y.p = last.p - 9)
+SELECT place::INT AS place, 'temperature' AS value, count(*) AS sequences, round(avg(t), 6) AS mean, round(avg(t * t), 6) AS square,
+  round(avg(t * t_first), 6) AS with_first FROM places GROUP BY place
+UNION ALL SELECT place::INT, 'vibration', count(*), round(avg(v), 6), round(avg(v * v), 6), round(avg(v * v_first), 6) FROM places GROUP BY place"""
+
+
 def build():
     return {
+        "A4_day_summaries": a4_days,
+        "A5_range_by_summaries": a5_days,
+        "A7_refresh_by_day": a7_days,
+        "D3_quantiles_by_summaries": d3_days,
+        "D4_kpis_by_summaries": d4_days,
+        "J14_sequence_moments": j14_moments,
+        "S6_ordered_features": s6_ordered,
         "J9_forecast_ahead": j9_ahead,
         "J9_forecast_fleet": j9_fleet,
     }
@@ -99,6 +209,21 @@ def build():
 
 def sql() -> dict[str, str]:
     return {
+        "A4_day_summaries": "WITH" + RULED + """
+SELECT "timestamp"::DATE AS event_date, count(*)::BIGINT AS readings, count(*) FILTER (is_anomaly)::BIGINT AS anomalies,
+  min("timestamp") AS first, max("timestamp") AS last, round(min(temperature), 6) AS least, round(max(temperature), 6) AS most,
+  round(avg(temperature), 6) AS mean FROM flagged GROUP BY ALL""",
+        "A5_range_by_summaries": "WITH" + READINGS + """
+SELECT reading_id, device_id, "timestamp" FROM readings, clock WHERE "timestamp" >= as_of - INTERVAL 7 DAY""",
+        "A7_refresh_by_day": "WITH" + READINGS + """
+SELECT device_id, "timestamp"::DATE AS event_date, count(*) AS readings, round(avg(temperature), 6) AS mean FROM readings GROUP BY ALL""",
+        "D3_quantiles_by_summaries": "WITH" + READINGS + """
+SELECT count(temperature) AS readings, true AS p5, true AS p50, true AS p95, true AS p99 FROM readings""",
+        "D4_kpis_by_summaries": "WITH" + RULED + """
+SELECT count(*) AS total_readings, count(*) FILTER (is_anomaly) AS anomaly_count,
+  round(count(*) FILTER (is_anomaly) / count(*) * 100, 6) AS anomaly_rate, true AS active_devices,
+  round(avg(temperature), 6) AS avg_temperature FROM flagged""",
+        "J14_sequence_moments": "WITH" + MOMENTS,
         "J9_forecast_ahead": "WITH" + _ahead("device_id"),
         "J9_forecast_fleet": "WITH" + _ahead("device_type"),
     }

@@ -322,7 +322,7 @@ def build() -> dict[str, str]:
     same = {"A2_message_batch": "B1_parse_messages", "A3_append_readings": "B9_format_reading",
             "A6_publish_alerts": "B10_format_alert", "A9_append_metrics": "D9_classification_metrics",
             "A11_model_registry": "J1_fit_temperature", "J7_members": "D1_device_profile", "S1_run_detection": "B9_format_reading",
-            "S1_alerts": "B10_format_alert", "S2_consume_and_score": "B11_rule_score"}
+            "S1_alerts": "B10_format_alert", "S6_ordered_features": "S6_stream_features", "S2_consume_and_score": "B11_rule_score"}
     return found | {name: found[other] for name, other in same.items()}
 
 

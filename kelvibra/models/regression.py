@@ -26,6 +26,7 @@ CLASS_FEATURES = (
     "vibration_avg_5min", "temp_stddev_10min", "vibration_stddev_10min", "temp_z_score",
     "vibration_z_score",
 )
+LEAST_LOSS = 1e-15  # the least probability that a log loss counts
 
 
 def _stages(rows: DataFrame, numeric: Sequence[str], category: str | None) -> list:
@@ -126,12 +127,20 @@ def supervised_anomalies(model: PipelineModel, wide: DataFrame, as_of=None, days
 
 
 def evaluate_classifier(model: PipelineModel, view: DataFrame, as_of=None, days: int = 1) -> DataFrame:
-    """J5. D9 and D10 over the last day's rows."""
+    """J5. D9 and D10 over the last day's rows, and the mean log loss (null without rows)."""
     scored = predict(model, scan_range(classifier_inputs(view), f"{days} DAYS", as_of))
-    lines = evaluate(cut(scored.select(
+    rows = cut(scored.select(
         F.col("label").cast("int").alias("y_true"), F.col("prediction").cast("int").alias("y_pred"),
-        F.col("anomaly_probability").alias("score"))))
-    return lines.withColumn("model_name", F.lit("anomaly_classification"))
+        F.col("anomaly_probability").alias("score")))
+    return evaluate(rows).withColumns({"model_name": F.lit("anomaly_classification"),
+                                       "log_loss": rows.agg(log_loss("y_true", "score").alias("l")).scalar()})
+
+
+def log_loss(label: str, probability: str) -> Column:
+    """Mean of -ln of the probability given to what was the case; probabilities of 0 and 1 count as LEAST_LOSS from
+    them."""
+    p = F.greatest(F.lit(LEAST_LOSS), F.least(F.lit(1.0 - LEAST_LOSS), F.col(probability)))
+    return F.avg(-F.ln(F.when(F.col(label) == 1, p).otherwise(1.0 - p)))
 
 
 def feature_importance(model: PipelineModel, rows: DataFrame) -> DataFrame:

@@ -29,14 +29,14 @@ def moment_of(df: DataFrame, as_of, timestamp: str) -> Column:
 def scan_range(df: DataFrame, interval: str, as_of=None, timestamp: str = "timestamp",
                date_column: str = "event_date") -> DataFrame:
     """A5. Rows of the last interval before as_of, as_of included. On a table partitioned by date a date
-    bound is added, as a bound on the timestamp alone prunes no partitions; it leaves a day of slack, since
-    the table's days may be those of another time zone."""
+    bound is added, as a bound on the timestamp alone prunes no partitions; it leaves two days of slack, since
+    the table's days may be those of another time zone, up to 26 hours away."""
     start = range_start(df, interval, as_of, timestamp)
     rows = df.filter(F.col(timestamp) >= start)
     if as_of is not None:
         rows = rows.filter(F.col(timestamp) <= moment_of(df, as_of, timestamp))
     if date_column in df.columns:
-        rows = rows.filter(F.col(date_column) >= F.date_sub(start.cast("date"), 1))
+        rows = rows.filter(F.col(date_column) >= F.date_sub(start.cast("date"), 2))
     return rows
 
 
