@@ -6,7 +6,8 @@ merged into pieces by the model's scores, and every piece is projected back to t
 it covers. Decoding turns ids into text again.
 
 As no piece of the model has a blank after another character, chunks of one word with the blanks before it
-are encoded on their own, and a worker remembers the words it has seen lately. Where a model does have such a piece
+are encoded on their own. The words of a block of texts that a worker has not seen lately are merged together, one step
+for all of them; what a word decodes to is put together from its ids. Where a model does have such a piece
 the whole text is one chunk. Defined results: a null counts as an empty text, an empty text has no pieces.
 """
 
@@ -19,14 +20,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import functions as F
 
-from kelvibra.llm.words import worker_cache
+from kelvibra.llm.words import mix, worker_cache
 
 BLANK = "▁"
 CHUNK = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
 REMEMBERED = 110_000
+SHORT = 64  # characters of a word that is merged with others
+AT_ONCE = 5_000  # words that are merged together
+BLOCK_ROWS = 200
 LOWEST = float("-inf")
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # kinds of pieces in a model file
 
@@ -288,18 +293,159 @@ class Model:
         return "".join(out)
 
 
+class Merger:
+    """Merges many words at once. Words are rows of symbols; each step joins, in every row that still has a known pair, the
+    neighbours with the best score, the first of equal ones. Pairs of symbols are looked up in a hash table."""
+
+    def __init__(self, model: Model):
+        texts = list(dict.fromkeys([*model.scores, *(c for t in model.scores for c in t)]))
+        self.number = {t: i for i, t in enumerate(texts)}
+        self.model, self.texts = model, texts
+        self._describe()
+        self.symbols = np.full(0x110000, -1, np.int32)
+        for t, i in self.number.items():
+            if len(t) == 1:
+                self.symbols[ord(t)] = i
+        pairs = [(self.number[t[:k]], self.number[t[k:]], i, model.scores[t]) for t, i in self.number.items()
+                 if t in model.scores for k in range(1, len(t)) if t[:k] in self.number and t[k:] in self.number]
+        self.slots = 1 << max(10, (8 * len(pairs)).bit_length())
+        self.keys = np.full(self.slots, -1, np.int64)
+        self.to, self.score = np.full(self.slots, -1, np.int32), np.full(self.slots, LOWEST)
+        left = np.arange(len(pairs))
+        a, b, to, score = (np.array([p[k] for p in pairs]) for k in range(4))
+        keys = a.astype(np.int64) << 32 | b.astype(np.int64)
+        at = self._slot(keys)
+        while len(left):
+            free = left[self.keys[at[left]] < 0]
+            _, first = np.unique(at[free], return_index=True)
+            put = free[first]
+            self.keys[at[put]], self.to[at[put]], self.score[at[put]] = keys[put], to[put], score[put]
+            left = np.setdiff1d(left, put, assume_unique=True)
+            at[left] = (at[left] + 1) & (self.slots - 1)
+
+    def _describe(self) -> None:
+        """What each symbol stands for: its ids as text, their number, the source bytes of each, and what they decode to. A
+        character that is no piece is its bytes."""
+        m, labels, counts, sizes, back = self.model, [], [], [], []
+        for t in self.texts:
+            if t in m.ids:
+                labels.append(str(m.ids[t]))
+                counts.append(1)
+                sizes.append(len(t.replace(BLANK, " ").encode()))
+                back.append(m.texts[m.ids[t]].replace(BLANK, " "))
+            else:
+                labels.append(",".join(str(m.bytes[b]) for b in t.encode()) if m.bytes else "")
+                counts.append(len(t.encode()))
+                sizes.append(1)
+                back.append(t)
+        self.labels, self.back = pa.array(labels, pa.string()), pa.array(back, pa.string())
+        self.counts, self.sizes = np.array(counts), np.array(sizes, np.uint8)
+
+    def _meet(self, characters: np.ndarray) -> None:
+        """New symbols for characters of which the model has no piece; they join with nothing."""
+        new = np.unique(characters[self.symbols[characters] < 0])
+        if len(new):
+            self.symbols[new] = np.arange(len(self.texts), len(self.texts) + len(new))
+            self.texts += [chr(c) for c in new]
+            self._describe()
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (mix(keys.astype(np.uint64)) & np.uint64(self.slots - 1)).astype(np.int64)
+
+    def pair(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The symbol that two symbols make, and its score; the lowest where they make none."""
+        keys = a.astype(np.int64) << 32 | b.astype(np.int64)
+        at = self._slot(keys)
+        left = np.flatnonzero((a >= 0) & (b >= 0))
+        to, score = np.full(len(keys), -1, np.int32), np.full(len(keys), LOWEST)
+        while len(left):
+            found = self.keys[at[left]]
+            same = left[found == keys[left]]
+            to[same], score[same] = self.to[at[same]], self.score[at[same]]
+            left = left[(found >= 0) & (found != keys[left])]
+            at[left] = (at[left] + 1) & (self.slots - 1)
+        return to, score
+
+    def merge(self, words: list[str]) -> list[tuple[str, bytes, str]]:
+        """Each word's ids as text, the source bytes of each piece, and the text the ids decode to."""
+        sizes = np.array([len(w) for w in words])
+        width = int(sizes.max())
+        rows = np.full((len(words), width + 1), -1, np.int32)
+        characters = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+        self._meet(characters)
+        rows[np.arange(width + 1)[None, :] < sizes[:, None]] = self.symbols[characters]
+        flat, cuts = self._merged(rows, width)
+        lists = lambda names: pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), names.take(pa.array(flat)))
+        ids, back = (pc.binary_join(lists(names), between).to_pylist() for names, between in ((self.labels, ","), (self.back, "")))
+        covered = np.repeat(self.sizes[flat], self.counts[flat]).tobytes()
+        ends = np.append(0, np.cumsum(self.counts[flat]))[cuts].tolist()
+        return [(i, covered[a:b], t[1:]) for i, a, b, t in zip(ids, ends, ends[1:], back)]
+
+    def _merged(self, rows: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """The symbols that are left of all rows, one row after another, and the cuts between rows."""
+        out = rows.copy()
+        live = np.arange(len(rows))
+        to, score = (x.reshape(len(live), width) for x in self.pair(rows[:, :-1].ravel(), rows[:, 1:].ravel()))
+        columns = np.arange(width)
+        while len(live):
+            at = score.argmax(axis=1)
+            on = score[np.arange(len(live)), at] > LOWEST
+            if not on.all():
+                out[live[~on]] = rows[~on]
+                live, rows, to, score, at = live[on], rows[on], to[on], score[on], at[on]
+                if not len(live):
+                    break
+            line = np.arange(len(live))
+            rows[line, at] = to[line, at]
+            behind = columns[None, :] > at[:, None]  # everything behind the second of the two moves up
+            rows[:, :-1] = np.where(behind, np.append(rows[:, 1:], np.full((len(live), 1), -1, np.int32), axis=1)[:, :-1], rows[:, :-1])
+            rows[:, -1] = -1
+            later = columns[None, :] >= at[:, None]
+            to = np.where(later, np.append(to[:, 1:], np.full((len(live), 1), -1, np.int32), axis=1), to)
+            score = np.where(later, np.append(score[:, 1:], np.full((len(live), 1), LOWEST), axis=1), score)
+            for place in (at - 1, at):
+                ok = np.flatnonzero(place >= 0)
+                p = place[ok]
+                to[ok, p], score[ok, p] = self.pair(rows[ok, p], rows[ok, p + 1])
+        return out[out >= 0], np.append(0, np.cumsum((out >= 0).sum(axis=1)))
+
+
 class Coder:
-    """A model with the words it has seen lately: their ids as text and the source bytes of each piece, as if a
-    blank came before them. Two generations of words are held, the older one being dropped. `odd` has what a
-    word decodes to if that is not the word itself."""
+    """A model with the words it has seen lately: their ids as text, the source bytes of each piece, as if a blank came
+    before them, and the text that the ids decode to. Two generations of words are held, the older one being dropped."""
 
     def __init__(self, model: Model):
         self.model, self.seen, self.older = model, {}, {}
-        self.odd: dict[str, str] = {}
         n = model.normalise
         self.quick = model.by_word and n.plain and n.escape and n.dummy and BLANK in model.ids
+        self.merger = Merger(model) if self.quick and not model.unused and model.bytes else None
 
-    def word(self, word: str) -> tuple[str, bytes]:
+    def words(self, text: str) -> list[str] | None:
+        """The words of a text; none if it has to be encoded as a whole."""
+        if not text or not self.quick or BLANK in text:
+            return None
+        if "  " in text or text[0] == " ":  # chunks with several blanks
+            return [c[1:] for c in self.model.chunks(BLANK + text.replace(" ", BLANK))]
+        return text.split(" ")
+
+    def learn(self, lists: list[list[str] | None]) -> None:
+        """Merges the words of some texts that are not known yet, each once."""
+        if self.merger is None:
+            return
+        new: set[str] = set()
+        for words in lists:
+            new.update(words or ())
+        new = {w for w in new if w not in self.seen and len(w) < SHORT}
+        if len(self.seen) + len(new) > REMEMBERED:
+            self.seen, self.older = {}, self.seen
+        again = [w for w in new if w in self.older]
+        self.seen.update(zip(again, map(self.older.get, again)))
+        ordered = sorted(new.difference(again), key=len)
+        for at in range(0, len(ordered), AT_ONCE):
+            words = ordered[at:at + AT_ONCE]
+            self.seen.update(zip(words, self.merger.merge([BLANK + w for w in words])))
+
+    def word(self, word: str) -> tuple[str, bytes, str]:
         found = self.older.get(word)
         if found is None:
             m, chunk = self.model, BLANK + word
@@ -308,38 +454,39 @@ class Coder:
             if None in numbers:  # with bytes, decoded behind some other piece
                 numbers = [i for i, _ in m.piece_ids([p.replace(BLANK, " ") if p not in m.ids else p for p in pieces])]
                 sizes = [len(m.texts[i].replace(BLANK, " ").encode()) if m.kinds[i] != BYTE else 1 for i in numbers]
-                back = m.decode([m.ids[BLANK], *numbers])[1:]
-                if back != word:
-                    self.odd[word] = back
             else:
                 sizes = map(len, pieces) if word.isascii() else [len(p.replace(BLANK, " ").encode()) for p in pieces]
-            found = ",".join(map(str, numbers)), bytes(sizes)
+            # behind some other piece, as a text's first blank is dropped
+            found = ",".join(map(str, numbers)), bytes(sizes), m.decode([m.ids[BLANK], *numbers])[1:]
         if len(word) < 64:
             if len(self.seen) >= REMEMBERED:
                 self.seen, self.older = {}, self.seen
             self.seen[word] = found
         return found
 
-    def __call__(self, text: str) -> tuple[str, int, str, np.ndarray]:
+    def __call__(self, text: str, words: list[str] | None = None) -> tuple[str, int, str, np.ndarray]:
         """Ids joined by commas, their number, the text they decode to, and the source byte at which each
         piece ends; a piece begins where the one before it ends."""
-        m, seen = self.model, self.seen
-        if not text or not self.quick or BLANK in text:
+        words = self.words(text) if words is None else words
+        if words is None:
+            m = self.model
             ids, spans = m.encode(text)
             return ",".join(map(str, ids)), len(ids), m.decode(ids), np.array([e for _, e in spans], np.int64)
-        if "  " in text or text[0] == " ":  # chunks with several blanks
-            words = [c[1:] for c in m.chunks(BLANK + text.replace(" ", BLANK))]
-        else:
-            words = text.split(" ")
+        seen = self.seen
         found = [seen.get(w) or self.word(w) for w in words]
         ids, sizes = ",".join([f[0] for f in found]), b"".join([f[1] for f in found])
-        if self.odd and not self.odd.keys().isdisjoint(words):
-            back = " ".join([self.odd.get(w, w) for w in words]).replace(BLANK, " ")
-        else:
-            back = " ".join(words).replace(BLANK, " ")
         # the first piece loses its blank, which no source byte made
         ends = np.cumsum(np.frombuffer(sizes, np.uint8), dtype=np.int64) - 1
-        return ids, len(sizes), back, ends
+        return ids, len(sizes), " ".join([f[2] for f in found]), ends
+
+    def all(self, column: pa.Array) -> Iterator[tuple[str, int, str, np.ndarray]]:
+        """The texts of a column, in blocks whose new words are merged together."""
+        for at in range(0, len(column), BLOCK_ROWS):
+            texts = [t or "" for t in column.slice(at, BLOCK_ROWS).to_pylist()]
+            lists = [self.words(t) for t in texts]
+            self.learn(lists)
+            for text, words in zip(texts, lists):
+                yield self(text, words)
 
 
 def digests(path: str, text: str = "text", keep: bool = True) -> F.Column:
@@ -354,29 +501,38 @@ def digests(path: str, text: str = "text", keep: bool = True) -> F.Column:
         model = worker_cache(("model", path), lambda: Model(path))
         coder = worker_cache(("coder", path), lambda: Coder(model)) if keep else Coder(model)
 
-        def digest(value: str) -> tuple[int, str, str, str]:
-            ids, count, back, ends = coder(value)
+        def digest(ids: str, count: int, back: str, ends: np.ndarray) -> tuple[int, str, str, str]:
             return (count, *(hashlib.sha256(x).hexdigest() for x in (ids.encode(), back.encode(), ends.tobytes())))
         for column in columns:
-            found = [digest(t.as_py() or "") for t in column]
+            found = [digest(*f) for f in coder.all(column)]
             yield pa.StructArray.from_arrays([pa.array([f[k] for f in found], kind[k].type) for k in range(4)],
                                              fields=list(kind))
     return apply(F.col(text))
 
 
-def encoded(path: str, text: str = "text") -> F.Column:
-    """A struct of arrays: `ids`, and `starts` and `ends`, the source bytes that each piece covers."""
-    kind = pa.struct([(n, pa.list_(pa.int64())) for n in ("ids", "starts", "ends")])
+def encoded(path: str, text: str = "text", keep: bool = True) -> F.Column:
+    """What `digests` gives, and the ids and spans themselves: arrays `ids`, and `starts` and `ends`, the source bytes that
+    each piece covers."""
+    plain = [("n_tokens", pa.int64()), *[(n, pa.string()) for n in ("ids_sha256", "decoded_sha256", "spans_sha256")]]
+    lists = [("ids", pa.list_(pa.int32())), ("starts", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64()))]
 
-    @F.arrow_udf("ids array<long>, starts array<long>, ends array<long>")
+    @F.arrow_udf("n_tokens long, ids_sha256 string, decoded_sha256 string, spans_sha256 string, "
+                 "ids array<int>, starts array<long>, ends array<long>")
     def apply(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        coder = worker_cache(("coder", path), lambda: Coder(Model(path)))
+        model = worker_cache(("model", path), lambda: Model(path))
+        coder = worker_cache(("coder", path), lambda: Coder(model)) if keep else Coder(model)
         for column in columns:
-            found = [coder(t.as_py() or "") for t in column]
-            ids = [[int(i) for i in f[0].split(",")] if f[0] else [] for f in found]
-            starts = [np.concatenate([[0], f[3][:-1]])[:len(f[3])] for f in found]
-            yield pa.StructArray.from_arrays(
-                [pa.array(x, kind[0].type) for x in (ids, starts, [f[3] for f in found])], fields=list(kind))
+            rows, ids, ends = [], [], []
+            for joined, count, back, to in coder.all(column):
+                rows.append((count, *(hashlib.sha256(x).hexdigest() for x in (joined.encode(), back.encode(), to.tobytes()))))
+                ids.append(np.fromstring(joined, np.int32, sep=",") if joined else np.zeros(0, np.int32))
+                ends.append(to)
+            cuts = pa.array(np.cumsum([0, *map(len, ends)]), pa.int32())
+            starts = [np.append(0, to[:-1])[:len(to)] for to in ends]
+            arrays = [pa.array([r[k] for r in rows], kind) for k, (_, kind) in enumerate(plain)]
+            arrays += [pa.ListArray.from_arrays(cuts, pa.array(np.concatenate([np.zeros(0, kind), *parts]).astype(kind)))
+                       for parts, kind in ((ids, np.int32), (starts, np.int64), (ends, np.int64))]
+            yield pa.StructArray.from_arrays(arrays, fields=[pa.field(*c) for c in plain + lists])
     return apply(F.col(text))
 
 
