@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from kelvibra.models.boundary import OneClassBoundary
 from kelvibra.models.isolation import IsolationForest
 from kelvibra.models.sequences import SequenceComponents, SequenceNetwork
+from kelvibra.models.support import SupportVectors
 
-KINDS = {kind.__name__: kind for kind in (IsolationForest, OneClassBoundary, SequenceComponents, SequenceNetwork)}
+KINDS = {kind.__name__: kind for kind in (IsolationForest, OneClassBoundary, SequenceComponents, SequenceNetwork,
+                                        SupportVectors)}
 
 
 class ModelRegistry:
