@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.oracle import READINGS, RULED
+from checks.oracle import READINGS, RULED, USABLE, VIEW
 from kelvibra import fixtures as X
+from kelvibra import settings as S
 from kelvibra.functions.expressions import known
-from kelvibra.models import sequences
+from kelvibra.models import clusters, regression, sequences
 from kelvibra.models.autoregression import forecast_ahead
+from kelvibra.operators.features import training_view
+from kelvibra.operators.rules import rule_score, wide_features
 from kelvibra.operators.scans import scan_range
-from kelvibra.plans.lineage import shared_folder
+from kelvibra.operators.stats import device_profile
+from kelvibra.plans.lineage import cut, shared_folder
 from kelvibra.sources import refresh, summaries
 from kelvibra.sources.tables import partition_and_cluster
 from kelvibra.streaming import jobs
@@ -179,6 +183,67 @@ def j14_moments(spark, sf):
     return spark.createDataFrame(lines, "place int, value string, sequences long, mean double, square double, with_first double")
 
 
+def _view(spark, sf):
+    return training_view(X.stored(spark, sf))
+
+
+def j4_probability(spark, sf):
+    """Every row of the last day scored again with the coefficients alone: rows flagged otherwise than by a probability
+    above one half, or with another probability."""
+    wide = wide_features(rule_score(X.readings_wide(spark, sf)).drop("anomaly_score"))
+    model = regression.fit_supervised(wide, "rule_based_anomaly")
+    curve = model.stages[-1]
+    names = list(S.WIDE_FEATURES)
+    rows = scan_range(wide, "1 DAYS").dropna(subset=names)
+    margin = sum((F.lit(float(w)) * F.col(c).cast("double") for c, w in zip(names, curve.coefficients.toArray())), F.lit(float(curve.intercept)))
+    want = rows.select("device_id", "timestamp", (1 / (1 + F.exp(-margin))).alias("p")).filter("p > 0.5")
+    got = regression.supervised_anomalies(model, wide).select("device_id", "timestamp", "anomaly_probability", "anomaly_score")
+    both = got.join(want, ["device_id", "timestamp"], "full")
+    wrong = F.count_if(~F.coalesce(F.abs(F.col("p") - F.col("anomaly_probability")) < 1e-9, F.lit(False)))
+    return both.agg(wrong.alias("wrong"), (F.count("p") > 0).alias("some_flagged"))
+
+
+def j5_metrics(spark, sf):
+    """J5's line against the scored rows: the metrics that differ from their definitions."""
+    view = _view(spark, sf)
+    model = regression.fit_anomaly_classifier(view)
+    line = regression.evaluate_classifier(model, view)
+    rows = regression.predict(model, scan_range(regression.classifier_inputs(view), "1 DAYS"))
+    hit, said = F.col("label"), F.col("prediction") == 1.0
+    own = F.when(hit, F.col("anomaly_probability")).otherwise(1 - F.col("anomaly_probability"))
+    want = rows.agg(F.avg((hit == said).cast("double")).alias("accuracy_"), F.try_divide(F.count_if(hit & said), F.count_if(said)).alias("precision_"),
+                    F.try_divide(F.count_if(hit & said), F.count_if(hit)).alias("recall_"),
+                    F.avg(-F.ln(F.greatest(own, F.lit(1e-15)))).alias("log_loss_"))
+    names = ("accuracy", "precision", "recall", "log_loss")
+    line = line.select(*names, *[want.select(f"{c}_").scalar().alias(f"{c}_") for c in names])
+    lines = [(F.abs(F.coalesce(F.col(c), F.lit(0.0)) - F.coalesce(F.col(f"{c}_"), F.lit(0.0))) < 1e-9).alias(c) for c in names]
+    return line.select(*lines)
+
+
+def j6_deviations(spark, sf):
+    """The deviation by which each coefficient is multiplied."""
+    view = _view(spark, sf)
+    lines = regression.feature_importance(regression.fit_anomaly_classifier(view), regression.classifier_inputs(view))
+    return lines.filter("feature NOT LIKE 'device_type=%' AND feature NOT LIKE '%z_score'").select(
+        "feature", F.round(F.col("importance") / F.abs("coefficient"), 4).alias("deviation"))
+
+
+def j7_nearest(spark, sf):
+    """Whether devices are at the nearest of their clusters' means, and as far from it as they say."""
+    profile = device_profile(X.stored(spark, sf))
+    placed = cut(clusters.device_clusters(profile))
+    filled = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in clusters.PROFILE]
+    ends = placed.agg(*[f(c).alias(f"{n}{i}") for i, c in enumerate(filled) for n, f in (("m", F.avg), ("s", F.stddev_samp))]).first()
+    scaled = [((c - F.lit(ends[f"m{i}"])) / F.lit(ends[f"s{i}"] or 1.0)).alias(f"z{i}") for i, c in enumerate(filled)]
+    rows = placed.select("device_id", "device_type", "cluster_id", "distance_to_centroid", *scaled)
+    names = [f"z{i}" for i in range(len(filled))]
+    means = rows.groupBy("cluster_id").agg(*[F.avg(c).alias(c) for c in names]).collect()  # five lines
+    away = {r["cluster_id"]: F.sqrt(sum((F.col(c) - F.lit(r[c])) * (F.col(c) - F.lit(r[c])) for c in names)) for r in means}
+    own = F.coalesce(*[F.when(F.col("cluster_id") == k, d) for k, d in away.items()])
+    return rows.agg(F.count(F.lit(1)).alias("devices"), (F.avg((own <= F.least(*away.values()) + 0.02).cast("double")) > 0.99).alias("nearest"),
+                    (F.avg(F.abs(own - F.col("distance_to_centroid"))) < 0.02).alias("centred"))
+
+
 MOMENTS = READINGS + """,
 ends AS (SELECT min(temperature) AS t0, max(temperature) AS t1, min(vibration) AS v0, max(vibration) AS v1 FROM readings),
 scaled AS (SELECT device_id, (temperature - t0) / (t1 - t0) AS t, (vibration - v0) / (v1 - v0) AS v,
@@ -200,6 +265,10 @@ def build():
         "A7_refresh_by_day": a7_days,
         "D3_quantiles_by_summaries": d3_days,
         "D4_kpis_by_summaries": d4_days,
+        "J4_probability": j4_probability,
+        "J5_metrics": j5_metrics,
+        "J6_deviations": j6_deviations,
+        "J7_nearest": j7_nearest,
         "J14_sequence_moments": j14_moments,
         "S6_ordered_features": s6_ordered,
         "J9_forecast_ahead": j9_ahead,
@@ -223,6 +292,14 @@ SELECT count(temperature) AS readings, true AS p5, true AS p50, true AS p95, tru
 SELECT count(*) AS total_readings, count(*) FILTER (is_anomaly) AS anomaly_count,
   round(count(*) FILTER (is_anomaly) / count(*) * 100, 6) AS anomaly_rate, true AS active_devices,
   round(avg(temperature), 6) AS avg_temperature FROM flagged""",
+        "J4_probability": "SELECT 0 AS wrong, true AS some_flagged",
+        "J5_metrics": "SELECT true AS accuracy, true AS precision, true AS recall, true AS log_loss",
+        "J6_deviations": "WITH" + VIEW + " UNION ALL ".join(
+            f"SELECT '{c}' AS feature, round(stddev_samp({c}), 4) AS deviation FROM training WHERE {USABLE}"
+            for c in regression.CLASS_FEATURES if not c.endswith("z_score")),
+        "J7_nearest": "WITH" + READINGS + """
+SELECT count(*) AS devices, true AS nearest, true AS centred FROM (SELECT DISTINCT device_id, device_type FROM readings, clock
+WHERE "timestamp" >= as_of - INTERVAL 7 DAY)""",
         "J14_sequence_moments": "WITH" + MOMENTS,
         "J9_forecast_ahead": "WITH" + _ahead("device_id"),
         "J9_forecast_fleet": "WITH" + _ahead("device_type"),
