@@ -87,6 +87,7 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", size: int = S
     a list of `size` codes per language is all that reaches the driver."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[np.ndarray]] = {}
+        total = 0  # letters of all languages that are held
 
         def flush(language: str) -> pa.RecordBatch:
             codes, counts = counted(np.concatenate(held.pop(language)))
@@ -94,9 +95,12 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", size: int = S
                                                pa.array(counts)], ["lang", "gram", "n"])
         for batch in batches:
             for language, words in zip(batch["lang"].to_pylist(), batch["text"]):
-                held.setdefault(language, []).append(letters(words.as_py()))
-                if sum(map(len, held[language])) > 16 * PIECE:
-                    yield flush(language)
+                found = letters(words.as_py())
+                held.setdefault(language, []).append(found)
+                total += len(found)
+                if total > 16 * PIECE:
+                    yield from map(flush, list(held))
+                    total = 0
         yield from map(flush, list(held))
 
     rows = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text")).dropna()
