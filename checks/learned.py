@@ -290,9 +290,9 @@ SELECT device_id, "timestamp"::DATE AS event_date, count(*) AS readings, round(a
 SELECT count(temperature) AS readings, true AS p5, true AS p50, true AS p95, true AS p99 FROM readings""",
         "D4_kpis_by_summaries": "WITH" + RULED + """
 SELECT count(*) AS total_readings, count(*) FILTER (is_anomaly) AS anomaly_count,
-  round(count(*) FILTER (is_anomaly) / count(*) * 100, 6) AS anomaly_rate, true AS active_devices,
-  round(avg(temperature), 6) AS avg_temperature FROM flagged""",
-        "J4_probability": "SELECT 0 AS wrong, true AS some_flagged",
+  round(count(*) FILTER (is_anomaly) / count(*) * 100, 8) AS anomaly_rate, true AS active_devices,
+  round(avg(temperature), 8) AS avg_temperature FROM flagged""",
+        "J4_probability": "SELECT 0::BIGINT AS wrong, true AS some_flagged",
         "J5_metrics": "SELECT true AS accuracy, true AS precision, true AS recall, true AS log_loss",
         "J6_deviations": "WITH" + VIEW + " UNION ALL ".join(
             f"SELECT '{c}' AS feature, round(stddev_samp({c}), 4) AS deviation FROM training WHERE {USABLE}"

@@ -51,7 +51,7 @@ def joined(column: str) -> F.Column:
 
 
 # means of eight values end in a 5 at the seventh place, where summation order decides the sixth
-DIGITS = {"D1_device_profile": 8, "J7_members": 8}
+DIGITS = {"D1_device_profile": 8, "D4_kpis_by_summaries": 8, "J7_members": 8}
 
 
 def query(fn, digits: int = 6):

@@ -7,7 +7,7 @@ from checks import compare
 
 QUERIES, SQL = entry_file.queries(), entry_file.oracle_sql()
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
-         "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+         "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
 
 
 @pytest.fixture(scope="module")
