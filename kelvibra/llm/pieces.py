@@ -31,7 +31,7 @@ CHUNK = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
 REMEMBERED = 110_000
 SHORT = 64  # characters of a word that is merged with others
 AT_ONCE = 5_000  # words that are merged together
-BLOCK_ROWS = 200
+BLOCK_ROWS = 100
 LOWEST = float("-inf")
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # kinds of pieces in a model file
 
@@ -511,13 +511,12 @@ def digests(path: str, text: str = "text", keep: bool = True) -> F.Column:
 
 
 def encoded(path: str, text: str = "text", keep: bool = True) -> F.Column:
-    """What `digests` gives, and the ids and spans themselves: arrays `ids`, and `starts` and `ends`, the source bytes that
-    each piece covers."""
+    """What `digests` gives, and the ids and spans themselves: arrays `ids` and `ends`, the source byte at which each piece
+    ends. A piece begins where the one before it ends, the first at 0."""
     plain = [("n_tokens", pa.int64()), *[(n, pa.string()) for n in ("ids_sha256", "decoded_sha256", "spans_sha256")]]
-    lists = [("ids", pa.list_(pa.int32())), ("starts", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64()))]
+    lists = [(n, pa.list_(pa.int32())) for n in ("ids", "ends")]
 
-    @F.arrow_udf("n_tokens long, ids_sha256 string, decoded_sha256 string, spans_sha256 string, "
-                 "ids array<int>, starts array<long>, ends array<long>")
+    @F.arrow_udf("n_tokens long, ids_sha256 string, decoded_sha256 string, spans_sha256 string, ids array<int>, ends array<int>")
     def apply(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = worker_cache(("model", path), lambda: Model(path))
         coder = worker_cache(("coder", path), lambda: Coder(model)) if keep else Coder(model)
@@ -526,12 +525,10 @@ def encoded(path: str, text: str = "text", keep: bool = True) -> F.Column:
             for joined, count, back, to in coder.all(column):
                 rows.append((count, *(hashlib.sha256(x).hexdigest() for x in (joined.encode(), back.encode(), to.tobytes()))))
                 ids.append(np.fromstring(joined, np.int32, sep=",") if joined else np.zeros(0, np.int32))
-                ends.append(to)
+                ends.append(to.astype(np.int32))
             cuts = pa.array(np.cumsum([0, *map(len, ends)]), pa.int32())
-            starts = [np.append(0, to[:-1])[:len(to)] for to in ends]
             arrays = [pa.array([r[k] for r in rows], kind) for k, (_, kind) in enumerate(plain)]
-            arrays += [pa.ListArray.from_arrays(cuts, pa.array(np.concatenate([np.zeros(0, kind), *parts]).astype(kind)))
-                       for parts, kind in ((ids, np.int32), (starts, np.int64), (ends, np.int64))]
+            arrays += [pa.ListArray.from_arrays(cuts, pa.array(np.concatenate([np.zeros(0, np.int32), *parts]))) for parts in (ids, ends)]
             yield pa.StructArray.from_arrays(arrays, fields=[pa.field(*c) for c in plain + lists])
     return apply(F.col(text))
 
