@@ -160,15 +160,15 @@ def a7_days(spark, sf):
 
 def s6_ordered(spark, sf):
     """The features of readings that come in no order: every batch has readings of all times. A last reading far ahead
-    lets the watermark pass all others."""
+    lets the watermark pass all others. The stream is started anew for each batch, so that a batch may be many files."""
     rows = X.readings(spark, sf).select("device_id", F.col("timestamp").cast("timestamp").alias("timestamp"), "temperature", "vibration")
     folder = shared_folder(spark)
     ahead = rows.agg(F.lit("ahead").alias("device_id"), (F.max("timestamp") + F.expr("INTERVAL 100 DAYS")).alias("timestamp"),
                      F.lit(1.0).alias("temperature"), F.lit(1.0).alias("vibration"))
     for part in (rows.filter(F.xxhash64("*") % 2 == 0), rows.filter(F.xxhash64("*") % 2 != 0), ahead):
-        part.coalesce(1).write.mode("append").parquet(f"{folder}/in")
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", "1").parquet(f"{folder}/in")
-    jobs.streaming_row_sink(ordered_features(stream, "60 days", width=86_400), f"{folder}/table", f"{folder}/state").awaitTermination()
+        part.write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{folder}/in")
+        jobs.streaming_row_sink(ordered_features(stream, "60 days", width=86_400), f"{folder}/table", f"{folder}/state").awaitTermination()
     out = spark.read.parquet(f"{folder}/table").drop("batch_id").withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
     return out.withColumns({c: known(c) for c, kind in out.dtypes if kind == "double"})
 

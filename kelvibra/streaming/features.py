@@ -49,9 +49,14 @@ def _frames(kept: list[float], new: np.ndarray, in_order: bool) -> np.ndarray:
 
 
 def score_frames(rows: pd.DataFrame, kept: dict[str, list[float]], in_order: bool) -> pd.DataFrame:
+    return scored(rows, {c: _frames(kept[c], rows[c].to_numpy(dtype=float), in_order) for c in ("temperature", "vibration")})
+
+
+def scored(rows: pd.DataFrame, frames_of: dict[str, np.ndarray]) -> pd.DataFrame:
+    """Readings with the features of their frames: a line of KEPT + 1 values each, NaN before a device's first."""
     out = rows[["device_id", "timestamp", "temperature", "vibration"]].copy()
     for short, name in (("temp", "temperature"), ("vibration", "vibration")):
-        frames = _frames(kept[name], rows[name].to_numpy(dtype=float), in_order)
+        frames = frames_of[name]
         out[f"{short}_change"] = frames[:, -1] - frames[:, -2]
         out[f"{short}_avg_5min"] = _mean(frames[:, -5:])
         out[f"{short}_stddev_10min"] = _deviation(frames)

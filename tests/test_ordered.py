@@ -109,3 +109,28 @@ def test_a_backlog_is_held_by_the_bucket():
     np.testing.assert_allclose(found["temp_avg_5min"], plain["temperature"].rolling(5, min_periods=1).mean(), atol=1e-9)
     np.testing.assert_allclose(found["vibration_stddev_10min"], plain["vibration"].rolling(10, min_periods=1).std(), atol=1e-9)
     np.testing.assert_allclose(found["temp_change"], plain["temperature"].diff(), atol=1e-12)
+
+
+def test_devices_of_a_group_share_their_timers():
+    """Three hundred devices over four buckets: a timer and a value per bucket, not per device, and the same features as one
+    device at a time. A reading without an instant comes first."""
+    rng = np.random.default_rng(2)
+    size, names = 6_000, [f"d{i}" for i in range(299)] + [None]
+    rows = pd.DataFrame({"device_id": [names[i] for i in rng.integers(0, 300, size)], "at": rng.permutation(size) * 40_000,
+                         "temperature": rng.normal(size=size), "vibration": rng.normal(size=size)})
+    rows.loc[rng.integers(0, size, 500), "vibration"] = np.nan
+    rows.loc[17, "at"] = ordered.NEVER
+    memory, work = Memory(), ordered._InOrder(60_000, 1_000, held=900)
+    work.init(memory)
+    assert list(work.handleInputRows((3,), iter([rows[i:i + 500] for i in range(0, size, 500)]), None)) == []
+    assert len(memory.timers) == len(memory.maps) == 5
+    out = [f for at in sorted(memory.timers) for f in work.handleExpiredTimer((3,), None, Expired(at))]
+    assert len(out) == 9 and max(map(len, out)) <= 1_000 and not memory.maps
+    found = pd.concat(out).fillna({"device_id": "none"}).reset_index(drop=True)
+    assert len(found) == size and found["timestamp"].isna().sum() == 1
+    for device, own in rows.sort_values("at").fillna({"device_id": "none"}).groupby("device_id"):
+        got = found[found["device_id"] == device]
+        np.testing.assert_array_equal(got["temperature"], own["temperature"])
+        np.testing.assert_allclose(got["temp_change"], own["temperature"].diff(), atol=1e-12)
+        np.testing.assert_allclose(got["vibration_avg_5min"], own["vibration"].rolling(5, min_periods=1).mean(), atol=1e-9)
+        np.testing.assert_allclose(got["temp_stddev_10min"], own["temperature"].rolling(10, min_periods=1).std(), atol=1e-9)
