@@ -22,11 +22,10 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kelvibra.llm import words as W
@@ -38,7 +37,7 @@ BAND_ROWS, BANDS = 4, 40
 MINIMA, BITS = 1024, 2  # of a signature
 LONGS = MINIMA // 64
 PERCENT = 75
-PIVOTS = 256
+PIVOTS = 1024
 LOCATED_ROWS = 200_000
 
 
@@ -106,87 +105,79 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             values, cuts = W.shingles(found.hashes, found.bounds, WIDTH)
             sets = [np.unique(values[cuts[r]:cuts[r + 1]]) for r in range(block.rows)]
             yield pa.RecordBatch.from_arrays(
-                [batch.slice(block.first, block.rows)["node"], _lists(sets), _lists([packed(s) for s in sets])],
-                ["node", "members", "low"])
+                [batch.slice(block.first, block.rows)["node"], pa.array([len(s) for s in sets], pa.int64()), _lists(sets),
+                 _lists([packed(s) for s in sets])], ["node", "n", "members", "low"])
 
 
-def _open(rows: DataFrame) -> DataFrame:
-    """The rows of buckets that hold more than one component, with the component of the best connected class."""
-    live = rows.groupBy("bucket").agg(F.min("component").alias("_l"), F.max("component").alias("_h"),
-                                      F.max_by("component", "degree").alias("main")).filter("_l <> _h")
-    return rows.drop("main").join(live.select("bucket", "main"), "bucket")
+def _marked(rows: DataFrame, number: int, pivots: int) -> DataFrame:
+    """The rows of buckets that hold more than one component. `pivot` marks up to `pivots` of a bucket's classes outside
+    the component of its best connected class. Two components cannot be linked but through such a class."""
+    bucket = Window.partitionBy("bucket")
+    live = rows.withColumns({"_l": F.min("component").over(bucket), "_h": F.max("component").over(bucket),
+                             "_main": F.max_by("component", F.struct("degree", "node")).over(bucket)}).filter("_l <> _h")
+    outside = F.col("component") != F.col("_main")
+    place = F.row_number().over(bucket.orderBy(~outside, F.xxhash64("node", F.lit(number)), "node"))
+    return live.withColumn("pivot", outside & (place <= pivots)).drop("_l", "_h", "_main")
 
 
-def _pivots(rows: DataFrame, number: int, pivots: int) -> DataFrame:
-    """`bucket`, `pivot`: the best connected class of each bucket in round 0; later classes outside the
-    component of that class, the first and last of every slot to which they are dealt. Two components cannot
-    be linked but through such a class."""
-    if number == 0:
-        best = rows.groupBy("bucket").agg(F.max(F.struct("degree", "node")).alias("p"))
-        return best.select("bucket", F.col("p.node").alias("pivot"))
-    slot = F.pmod(F.xxhash64("node", F.lit(number)), F.lit(pivots))
-    ends = rows.filter("component <> main").groupBy("bucket", slot.alias("slot")).agg(F.min("node").alias("l"), F.max("node").alias("h"))
-    return ends.select("bucket", F.explode(F.array_distinct(F.array("l", "h"))).alias("pivot"))
+def _stars(rows: DataFrame) -> DataFrame:
+    """The rows with `best`, the best connected class of their bucket."""
+    return rows.withColumn("best", F.max(F.struct("degree", "node")).over(Window.partitionBy("bucket"))["node"])
 
 
-def links(rows: DataFrame, docs: DataFrame, percent: int = PERCENT, pivots: int = PIVOTS) -> DataFrame:
-    """Links `a`, `b` of classes, enough to connect all that are similar; every one is confirmed. `rows` has
-    the classes: `node`, `n`, `bands`, and `file` and `row` of one document; `docs` the texts."""
+def merges(rows: DataFrame, docs: DataFrame, percent: int = PERCENT, pivots: int = PIVOTS) -> list[DataFrame]:
+    """The components of similar classes, round by round: `node`, `component`, where the nodes of a round are the components
+    of the one before, or classes that it left alone. Every link behind them is confirmed. `rows` has the classes: `node`,
+    `bands`, and `file` and `row` of one document; `docs` the texts."""
     t = percent / 100
     equal = t + (1 - t) * 2.0 ** -BITS
     lowest = t - 5 * (equal * (1 - equal) / MINIMA) ** 0.5 / (1 - 2.0 ** -BITS)
     buckets = rows.select("node", F.posexplode("bands").alias("band", "bucket"))
-    shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    members = stored(buckets.join(shared, "bucket"))
-    degrees = stored(members.groupBy("node").agg(F.sum("size").alias("degree"))
-                     .join(rows.select("node", "n", "file", "row", "bands"), "node"))
-    places = broadcast_rows(degrees.select("file", "row", "node"), LOCATED_ROWS)
+    shared = buckets.withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("bucket"))).filter("size > 1")
+    members = stored(shared.select("bucket", "band", "node", F.sum("size").over(Window.partitionBy("node")).alias("degree")))
+    classes = stored(rows.join(members.select("node").distinct(), "node", "left_semi").select(
+        "node", "file", "row", F.transform("bands", lambda b: F.shiftright(b, 32).cast("int")).alias("lanes")))
+    places = broadcast_rows(classes.select("file", "row", "node"), LOCATED_ROWS)
     sets = stored(docs.join(places, ["file", "row"]).select("node", "text")
-                  .mapInArrow(_sets, "node long, members array<long>, low array<long>"))
-    facts = sets.select("node", "low").join(degrees.select(
-        "node", "n", F.transform("bands", lambda b: F.shiftright(b, 32).cast("int")).alias("lanes")), "node")
-    rows = members.join(degrees.select("node", "degree"), "node").select(
-        "bucket", "band", "node", F.col("node").alias("component"), "degree")
-    found, number = [], 0
-    while number == 0 or rows.take(1):
-        if number == 1:  # from here on pairs are told apart within the join
-            rows = stored(rows.join(facts.select("node", "n", "low", "lanes"), "node"))
-        best = stored(_pivots(rows, number, pivots))
-        if number == 0:
-            met = rows.join(best, "bucket").filter("node <> pivot").select(
-                F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
-            own = lambda c: facts.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"),
-                                         F.col("low").alias(f"low{c}"))
-            met = met.join(own("a"), "a").join(own("b"), "b")
-            met = met.filter((F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-                             & (estimate("lowa", "lowb") >= lowest)).select(
-                "a", "b", F.col("a").alias("ca"), F.col("b").alias("cb"))
-        else:
-            heads = best.withColumnRenamed("bucket", "p_bucket").join(
-                rows.select(F.col("bucket").alias("p_bucket"), F.col("node").alias("pivot"),
-                            *[F.col(c).alias(f"p_{c}") for c in ("component", "n", "low", "lanes")]), ["p_bucket", "pivot"])
-            sizes = F.least("n", "p_n") * 100 >= F.greatest("n", "p_n") * percent
-            first = F.array_position(F.zip_with("lanes", "p_lanes", lambda x, y: x == y), True) == F.col("band") + 1
-            alike = (F.col("component") != F.col("p_component")) & sizes & (estimate("low", "p_low") >= lowest) & first
-            met = rows.join(heads, (F.col("bucket") == F.col("p_bucket")) & alike).select(
-                F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"),
-                F.when(F.col("node") < F.col("pivot"), F.col("component")).otherwise(F.col("p_component")).alias("ca"),
-                F.when(F.col("node") < F.col("pivot"), F.col("p_component")).otherwise(F.col("component")).alias("cb")
-            ).distinct()
-        met = stored(met)
-        if met.take(1):
-            own = lambda c: sets.select(F.col("node").alias(c), F.col("members").alias(f"s{c}"))
-            both = met.join(own("a"), "a").join(own("b"), "b")
-            common = F.size(F.array_intersect("sa", "sb"))
-            confirmed = common * 100 >= (F.size("sa") + F.size("sb") - common) * percent
-            found.append(stored(both.filter(confirmed).select("a", "b", "ca", "cb")))
-            joined = connected(found[-1].select(F.col("ca").alias("a"), F.col("cb").alias("b")))
-            rows = rows.join(joined.select(F.col("node").alias("component"), F.col("component").alias("_to")),
+                  .mapInArrow(_sets, "node long, n long, members array<long>, low array<long>"))
+
+    def own(c: str, *columns: str) -> DataFrame:
+        return sets.select(F.col("node").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in columns])
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(own("a", "members"), "a").join(own("b", "members"), "b")
+        common = F.size(F.array_intersect("members_a", "members_b"))
+        return both.filter(common * 100 >= (F.size("members_a") + F.size("members_b") - common) * percent)
+
+    def alike(n: str, m: str, low: str, other: str) -> F.Column:
+        return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (estimate(low, other) >= lowest)
+
+    met = _stars(members).filter("node <> best").select(
+        F.least("node", "best").alias("a"), F.greatest("node", "best").alias("b")).distinct()
+    met = met.join(own("a", "n", "low"), "a").join(own("b", "n", "low"), "b").filter(alike("n_a", "n_b", "low_a", "low_b"))
+    found, joined, number = stored(confirmed(met.select("a", "b")).select("a", "b")), [], 1
+    rows = _stars(members.withColumn("component", F.col("node"))).filter("node <> best").drop("best")
+    while True:
+        if found.take(1):
+            joined.append(connected(found))
+            rows = rows.join(joined[-1].select(F.col("node").alias("component"), F.col("component").alias("_to")),
                              "component", "left").withColumn("component", F.coalesce("_to", "component")).drop("_to")
-        rest = rows.join(best.select("bucket", F.col("pivot").alias("node")), ["bucket", "node"], "left_anti")
-        rows, number = stored(_open(rest)), number + 1
-    empty = docs.sparkSession.createDataFrame([], "a long, b long")
-    return reduce(DataFrame.unionByName, [f.select("a", "b") for f in found], empty)
+        rows = _marked(rows, number, pivots)
+        if number == 1:  # from here on pairs are told apart within the join
+            rows = rows.join(sets.select("node", "n", "low"), "node").join(classes.select("node", "lanes"), "node")
+        rows = stored(rows)
+        if not rows.take(1):
+            return joined
+        heads = rows.filter("pivot").select(*[F.col(c).alias(f"p_{c}") for c in ("bucket", "node", "component", "n", "low", "lanes")])
+        once = ~F.col("pivot") | (F.col("node") < F.col("p_node"))  # two pivots meet twice
+        first = F.array_position(F.zip_with("lanes", "p_lanes", lambda x, y: x == y), True) == F.col("band") + 1
+        met = rows.join(heads, (F.col("bucket") == F.col("p_bucket")) & (F.col("component") != F.col("p_component")) & once
+                        & alike("n", "p_n", "low", "p_low") & first)
+        ends = F.struct("node", "component"), F.struct(F.col("p_node").alias("node"), F.col("p_component").alias("component"))
+        met = met.select(F.least(*ends).alias("l"), F.greatest(*ends).alias("h")).select(
+            F.col("l.node").alias("a"), F.col("h.node").alias("b"), F.col("l.component").alias("ca"), F.col("h.component").alias("cb"))
+        found = stored(confirmed(met).select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct())
+        rows, number = rows.filter("NOT pivot").drop("pivot"), number + 1
 
 
 def find_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT,
@@ -198,15 +189,13 @@ def find_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p
     rows = stored(texts.mapInArrow(_signed, "id long, file string, row long, key binary, n long, "
                                             "bands array<long>"))
     place = F.struct(F.col("id").isNull().alias("absent"), "id", "file", "row")
-    classes = (rows.filter("n > 0").groupBy("key").agg(F.min(place).alias("first"), F.first("n").alias("n"),
-                                                       F.first("bands").alias("bands"))
+    classes = (rows.filter("n > 0").groupBy("key").agg(F.min(place).alias("first"), F.first("bands").alias("bands"))
                .withColumn("node", F.monotonically_increasing_id()))
     classes = stored(classes)
-    found = links(classes.select("node", "n", "bands", "first.file", "first.row"),
-                  texts.select("file", "row", "text"), percent, pivots)
-    labels = connected(found)
-    heads = classes.select("key", "node", "first").join(labels, "node", "left") \
-        .withColumn("component", F.coalesce("component", "node"))
+    heads = classes.select("key", "first", F.col("node").alias("component"))
+    for joined in merges(classes.select("node", "bands", "first.file", "first.row"), texts.select("file", "row", "text"), percent, pivots):
+        heads = heads.join(joined.select(F.col("node").alias("component"), F.col("component").alias("_to")), "component", "left") \
+            .withColumn("component", F.coalesce("_to", "component")).drop("_to")
     leads = heads.groupBy("component").agg(F.min("first").alias("lead"))
     leads = heads.join(leads, "component").select("key", "lead")
     own = F.struct(F.col("id").isNull().alias("absent"), "id", "file", "row")

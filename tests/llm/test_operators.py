@@ -126,6 +126,20 @@ def test_near_group_of_many(spark):
     assert collections.Counter((r["id"], r["n_shingles"], r["component_id"]) for r in found) == brute_near(rows)
 
 
+def test_near_writes_few_tables(spark, monkeypatch):
+    """A bucket with a group of near copies and many unlike classes: one round for the group's star, one for all others. Every
+    table between costs a job of many tasks, however few rows it has."""
+    base = [f"v{i}" for i in range(80)]
+    rows = [(i, " ".join(base[:i % 70] + [f"n{i}"] + base[i % 70 + 1:]) if i < 60 else " ".join(
+        x if (j + i) % 10 else f"m{i}" for j, x in enumerate(base))) for i in range(100)]
+    written, graphs = [], []
+    monkeypatch.setattr(minhash, "stored", lambda df, f=minhash.stored: written.append(df.columns) or f(df))
+    monkeypatch.setattr(minhash, "connected", lambda df, f=minhash.connected: graphs.append(df.columns) or f(df))
+    found = minhash.find_near(frame(spark, rows)).collect()
+    assert collections.Counter((r["id"], r["n_shingles"], r["component_id"]) for r in found) == brute_near(rows)
+    assert len(written) <= 9 and len(graphs) <= 2
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (7, 7)], "a long, b long")
     assert {(r[0], r[1]) for r in connected(edges).collect()} == {(i, 0) for i in range(41)} | {(100, 100), (101, 100)}
